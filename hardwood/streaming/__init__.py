@@ -1,0 +1 @@
+"""No streaming operators: every input and output of this library is a batch table."""
