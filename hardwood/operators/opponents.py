@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def with_opponent(
-    df: DataFrame, event: str, side: str, opponent: str, carry: Mapping[str, str]
+    df: DataFrame,
+    event: str,
+    side: str,
+    opponent: str,
+    carry: Mapping[str, str],
+    sides: DataFrame | None = None,
+    own: Sequence[str] = (),
 ) -> DataFrame:
     """Add the ``side`` of the other row of the same ``event``, and its ``carry`` columns.
 
@@ -18,26 +24,36 @@ def with_opponent(
     more, which a load must refuse. So one aggregated row per event replaces the self join: no
     pairs are formed, copies of an event collapse before the shuffle, and the join back has one
     row per key on its right side, which adaptive execution can split when a key is hot.
+
+    ``sides`` may be a narrow frame with the same rows as ``df`` (by event and side) that also
+    holds the columns ``own``. Each row gets those of its own side, so that columns computed on
+    few columns reach a wide table without a shuffle of their own.
     """
-    other = {column: (f"_low_{column}", f"_high_{column}") for column in carry}
-    sides = df.groupBy(event).agg(
+    sides = df if sides is None else sides
+    spread = [*carry, *own]
+    per_event = sides.groupBy(event).agg(
         F.min(side).alias("_low"),
         F.max(side).alias("_high"),
-        *[F.min_by(column, side).alias(low) for column, (low, _) in other.items()],
-        *[F.max_by(column, side).alias(high) for column, (_, high) in other.items()],
+        *[F.min_by(column, side).alias(f"_low_{column}") for column in spread],
+        *[F.max_by(column, side).alias(f"_high_{column}") for column in spread],
     )
-    joined = df.join(sides, event, "left")
+    joined = df.join(per_event, event, "left")
+    is_low = F.col(side) == F.col("_low")
+    is_high = F.col(side) == F.col("_high")
     two_sided = F.col("_low") != F.col("_high")
-    is_low = two_sided & (F.col(side) == F.col("_low"))
-    is_high = two_sided & (F.col(side) == F.col("_high"))
 
-    def pick(low: str, high: str):
-        return F.when(is_low, F.col(high)).when(is_high, F.col(low))
+    def of_other(suffix: str = "") -> Column:
+        low, high = F.col(f"_low{suffix}"), F.col(f"_high{suffix}")
+        return F.when(two_sided & is_low, high).when(two_sided & is_high, low)
+
+    def of_own(suffix: str) -> Column:
+        return F.when(is_low, F.col(f"_low{suffix}")).when(is_high, F.col(f"_high{suffix}"))
 
     return joined.select(
         *[joined[column] for column in df.columns],
-        pick("_low", "_high").alias(opponent),
-        *[pick(*other[column]).alias(name) for column, name in carry.items()],
+        of_other().alias(opponent),
+        *[of_other(f"_{column}").alias(name) for column, name in carry.items()],
+        *[of_own(f"_{column}").alias(column) for column in own],
     )
 
 

@@ -90,26 +90,32 @@ def dim_game(game_log: DataFrame) -> DataFrame:
 def fact_team_game(game_log: DataFrame, **sizing) -> DataFrame:
     """One row per team and game with the opponent and the rest before the game.
 
-    Opponents come first, over game ids; the window over teams and seasons comes last, so its
-    layout is the one the table is written in. Hot teams are searched for in the game log.
+    Rest days need a window over teams and seasons, opponents a join over games. The window
+    runs on five columns, and its result travels with the opponents, so the wide rows of the
+    log are shuffled once: over game ids, which are evenly spread.
     """
-    paired = with_opponent(
-        game_log.withColumn("game_date", F.to_date("game_date")),
-        event="game_id",
-        side="team_id",
-        opponent="opponent_team_id",
-        carry={"pts": "opp_pts"},
-    )
     rested = days_since_previous(
-        paired,
+        game_log.select(
+            "game_id", "team_id", "season_id", "pts", F.to_date("game_date").alias("game_date")
+        ),
         keys=["team_id", "season_id"],
         date="game_date",
         name="rest_days",
+        tie_break=["game_id"],
         sized_by=game_log,
         **sizing,
     )
+    paired = with_opponent(
+        game_log,
+        event="game_id",
+        side="team_id",
+        opponent="opponent_team_id",
+        carry={"pts": "opp_pts"},
+        sides=rested,
+        own=["rest_days"],
+    )
     return conform(
-        rested.withColumns(
+        paired.withColumns(
             {
                 "season_id": season.season_label(F.col("season_id")),
                 "is_home": F.coalesce(F.col("matchup").contains("vs."), F.lit(False)),

@@ -26,8 +26,8 @@ STAR_SCHEMAS = {
     "fact_team_season": schemas.FACT_TEAM_SEASON,
 }
 
-# The tables that grow with the number of games are laid out in folders by season.
-BY_SEASON = ("dim_game", "fact_team_game")
+# The tables that grow with the number of games.
+LARGE_TABLES = ("dim_game", "fact_team_game")
 
 
 def write_table(df: DataFrame, uri: str, partition_by: Sequence[str] = ()) -> int:
@@ -56,21 +56,20 @@ def read_staging(spark: SparkSession, base: str) -> Staging:
     )
 
 
-def write_star(star: Star, base: str) -> dict[str, int]:
-    """Write the star tables; the large ones by season.
+def write_star(star: Star, base: str, by_season: bool = False) -> dict[str, int]:
+    """Write the star tables and return their numbers of rows.
 
-    The rebalance hint lets adaptive execution gather a season's rows into files of the advised
-    size: small seasons share a task, and a hot season is split between many.
+    None of the analyses selects single seasons, so by default tables are written as they were
+    computed, without a further shuffle. ``by_season`` puts the large tables into one folder
+    per season, for users who read single seasons: the rebalance hint lets adaptive execution
+    gather small seasons into few files and split a hot season between many tasks.
     """
     counts = {}
     for field in fields(Star):
-        df = getattr(star, field.name)
-        by_season = field.name in BY_SEASON
-        if by_season:
-            df = df.hint("rebalance", "season_id")
-        counts[field.name] = write_table(
-            df, f"{base}/{field.name}", ["season_id"] if by_season else []
-        )
+        df, partition_by = getattr(star, field.name), []
+        if by_season and field.name in LARGE_TABLES:
+            df, partition_by = df.hint("rebalance", "season_id"), ["season_id"]
+        counts[field.name] = write_table(df, f"{base}/{field.name}", partition_by)
     return counts
 
 

@@ -6,6 +6,8 @@ landings should be JSON Lines instead (``lines=True``), which Spark splits betwe
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -55,14 +57,19 @@ def is_advanced_file(name: Column) -> Column:
 
 
 def _read_stats(
-    spark: SparkSession, path: str, file_schema: StructType, schema: StructType, chosen, lines: bool
+    spark: SparkSession,
+    path: str,
+    file_schema: StructType,
+    schema: StructType,
+    chosen: Callable[[Column], Column],
+    lines: bool,
 ) -> DataFrame:
     name = F.col("_metadata.file_name")
     rows = _read(spark, path, file_schema, lines).filter(chosen(name))
-    return conform(
-        rows.select("*", season_of_file(name).alias("season"), location_of_file(name).alias("location")),
-        schema,
+    tagged = rows.select(
+        "*", season_of_file(name).alias("season"), location_of_file(name).alias("location")
     )
+    return conform(tagged, schema)
 
 
 def read_team_stats_base(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
