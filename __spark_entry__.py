@@ -36,46 +36,46 @@ from hardwood.plans import star as star_plans
 from hardwood.plans.analyses import ANALYSES
 from hardwood.plans.run import export_all
 from hardwood.plans.star import Staging, Star, build_star, star_violations
-from hardwood.sinks.scratch import scratch_path
-from hardwood.sinks.tables import (
-    export,
-    read_staging,
-    read_star,
-    write_staging,
-    write_star,
-)
+from hardwood.sinks.scratch import keep, scratch_path
+from hardwood.sinks.tables import export, read_star, write_star
 from hardwood.sources import landed
-from hardwood.sources.derived import derive_staging
+from hardwood.sources.derived import derive_log_and_teams, derive_stats
 from oracle.queries_sql import expected
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_written: dict[tuple[str, str, str], str] = {}
+_prepared: dict[tuple[str, str, str], object] = {}
 
 
-def _written_once(spark: SparkSession, sf_dir: str, label: str, write: Callable) -> str:
-    """The scratch path that ``write`` filled for this session and input folder."""
+def _once(spark: SparkSession, sf_dir: str, label: str, prepare: Callable):
+    """What ``prepare`` returned for a new scratch path, once per session and input folder."""
     key = (spark.sparkContext.applicationId, sf_dir, label)
-    if key not in _written:
-        path = scratch_path(spark, label)
-        write(path)
-        _written[key] = path
-    return _written[key]
+    if key not in _prepared:
+        _prepared[key] = prepare(scratch_path(spark, label))
+    return _prepared[key]
 
 
 def staging_tables(spark: SparkSession, sf_dir: str) -> Staging:
-    def write(path: str) -> None:
-        derived = derive_staging(spark, sf_dir)
-        write_staging(Staging(**{k.removeprefix("staging_"): v for k, v in derived.items()}), path)
+    def prepare(path: str) -> Staging:
+        log, teams = derive_log_and_teams(spark, sf_dir)
+        game_log = keep(log, "game_log")
+        base, advanced = derive_stats(spark, game_log)
+        return Staging(
+            teams=keep(teams, "teams"),
+            game_log=game_log,
+            team_stats_base=keep(base, "team_stats_base"),
+            team_stats_advanced=keep(advanced, "team_stats_advanced"),
+        )
 
-    return read_staging(spark, _written_once(spark, sf_dir, "staging", write))
+    return _once(spark, sf_dir, "staging", prepare)
 
 
 def star_tables(spark: SparkSession, sf_dir: str) -> Star:
-    def write(path: str) -> None:
+    def prepare(path: str) -> Star:
         write_star(build_star(staging_tables(spark, sf_dir)), path)
+        return read_star(spark, path)
 
-    return read_star(spark, _written_once(spark, sf_dir, "star", write))
+    return _once(spark, sf_dir, "star", prepare)
 
 
 def _analysis(name: str) -> Query:
@@ -97,10 +97,11 @@ def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _landed(spark: SparkSession, sf_dir: str, table: str, read: Callable) -> DataFrame:
     """Land a derived staging table as JSON Lines and read it back with the landing reader."""
 
-    def write(path: str) -> None:
+    def prepare(path: str) -> str:
         getattr(staging_tables(spark, sf_dir), table).write.json(path)
+        return path
 
-    return read(spark, _written_once(spark, sf_dir, f"landed_{table}", write), lines=True)
+    return read(spark, _once(spark, sf_dir, f"landed_{table}", prepare), lines=True)
 
 
 def stg_team_stats(spark: SparkSession, sf_dir: str) -> DataFrame:

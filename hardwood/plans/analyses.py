@@ -45,22 +45,24 @@ def _win() -> Column:
     return won(F.col("wl"))
 
 
+def _report(df: DataFrame, *order: str) -> DataFrame:
+    """A sorted result of one file. For results with a fixed bound, such as a row per season."""
+    return df.repartition(1).orderBy(*ascending(order))
+
+
 def baseline_win_pct(star: Star) -> DataFrame:
     """League-wide win percentage at home and on the road by season."""
     averages = star.fact_team_season.groupBy("season_id", "location").agg(
         F.avg("w_pct").alias("w_pct")
     )
-    return (
-        averages.join(star.dim_season, "season_id")
-        .select(
-            "season_start_year",
-            "season_id",
-            "era",
-            "location",
-            round_half_away(F.col("w_pct"), 4).alias("avg_w_pct"),
-        )
-        .orderBy(*ascending(["season_start_year", "location"]))
+    result = averages.join(star.dim_season, "season_id").select(
+        "season_start_year",
+        "season_id",
+        "era",
+        "location",
+        round_half_away(F.col("w_pct"), 4).alias("avg_w_pct"),
     )
+    return _report(result, "season_start_year", "location")
 
 
 def hca_trend(star: Star) -> DataFrame:
@@ -103,7 +105,7 @@ def covid_bubble(star: Star) -> DataFrame:
         )
     )
     keys = ["era", "is_bubble", "is_home"]
-    return (
+    result = (
         by_season.join(star.dim_season, "season_id")
         .groupBy(*keys)
         .agg(
@@ -111,8 +113,8 @@ def covid_bubble(star: Star) -> DataFrame:
             round_half_away(mean_of_parts("margin"), 2).alias("avg_plus_minus"),
             F.sum("games").alias("games"),
         )
-        .orderBy(*ascending(keys))
     )
+    return _report(result, *keys)
 
 
 def back_to_back(star: Star) -> DataFrame:
@@ -122,16 +124,15 @@ def back_to_back(star: Star) -> DataFrame:
         .when(F.col("rest_days") >= 3, "Well Rested")
         .otherwise("Normal Rest")
     )
-    keys = ["rest_bucket", "is_home"]
-    return (
+    result = (
         star.fact_team_game.filter(F.col("rest_days").isNotNull())
         .groupBy(bucket.alias("rest_bucket"), "is_home")
         .agg(
             round_half_away(win_rate(F.col("wl")), 4).alias("w_pct"),
             F.count(F.lit(1)).alias("games"),
         )
-        .orderBy(*ascending(keys))
     )
+    return _report(result, "rest_bucket", "is_home")
 
 
 def shooting_boost(star: Star) -> DataFrame:
@@ -221,16 +222,13 @@ def conference_hca(star: Star) -> DataFrame:
         .groupBy("season_id", "conference")
         .agg((mean_of_parts("home") - mean_of_parts("road")).alias("gap"))
     )
-    return (
-        by_conference.join(star.dim_season, "season_id")
-        .select(
-            "season_start_year",
-            "season_id",
-            "conference",
-            round_half_away(F.col("gap"), 4).alias("hca_gap"),
-        )
-        .orderBy(*ascending(["season_start_year", "conference"]))
+    result = by_conference.join(star.dim_season, "season_id").select(
+        "season_start_year",
+        "season_id",
+        "conference",
+        round_half_away(F.col("gap"), 4).alias("hca_gap"),
     )
+    return _report(result, "season_start_year", "conference")
 
 
 def opponent_strength(star: Star) -> DataFrame:
@@ -262,12 +260,13 @@ def opponent_strength(star: Star) -> DataFrame:
             round_half_away(mean_of_parts("win"), 4).alias("home_w_pct"),
             F.sum("games").alias("games"),
         )
-        .orderBy(*ascending(["tier"]))
     )
     label = F.lit(None).cast("string")
     for tier, text in TIER_LABELS.items():
         label = F.when(F.col("tier") == tier, text).otherwise(label)
-    return by_tier.select(label.alias("opponent_tier"), "home_w_pct", "games")
+    return _report(by_tier, "tier").select(
+        label.alias("opponent_tier"), "home_w_pct", "games"
+    )
 
 
 def turnover_comfort(star: Star) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 ROUNDS_PER_BLOCK = 1024
 ORDERS_PER_BLOCK = 29 * 15 * ROUNDS_PER_BLOCK
 
-_STAGING = """
+_LOG_AND_TEAMS = """
 g0 AS (SELECT o_orderkey AS k, o_custkey AS c, 1996 + CAST(o_orderkey % 29 AS INT) AS y,
        CAST((o_orderkey - o_orderkey % 29) / 29 AS BIGINT) AS i FROM @orders),
 g1 AS (SELECT k, c, y, CAST(i % 15 AS INT) AS p,
@@ -56,14 +56,17 @@ staging_teams AS (SELECT CAST(1610612737 + c_custkey AS INT) AS id, CONCAT('Team
        c_mktsegment AS nickname, CONCAT('City ', CAST(c_nationkey AS STRING)) AS city, CONCAT('State ', CAST(c_nationkey % 5 AS STRING)) AS state,
        CAST(1946 + c_custkey % 30 AS INT) AS year_founded
        FROM @customer
-       WHERE c_custkey < (SELECT 30 + 30 * CAST((MAX(o_orderkey) - MAX(o_orderkey) % @block) / @block AS BIGINT) FROM @orders)),
+       WHERE c_custkey < (SELECT 30 + 30 * CAST((MAX(o_orderkey) - MAX(o_orderkey) % @block) / @block AS BIGINT) FROM @orders))
+"""
+
+_STATS = """
 stats_totals AS (SELECT team_id, CONCAT(substring(season_id,2),'-',LPAD(CAST((CAST(substring(season_id,2) AS INT)+1)%100 AS STRING),2,'0')) AS season,
        CASE WHEN matchup LIKE '%vs.%' THEN 'Home' ELSE 'Road' END AS location,
        CAST(COUNT(*) AS DOUBLE) AS n, CAST(SUM(CASE WHEN wl='W' THEN 1 ELSE 0 END) AS INT) AS w,
        CAST(SUM(CASE WHEN wl='L' THEN 1 ELSE 0 END) AS INT) AS l,
        CAST(SUM(pts) AS DOUBLE) AS pts, CAST(SUM(fga) AS DOUBLE) AS fga, CAST(SUM(fgm) AS DOUBLE) AS fgm,
        CAST(SUM(tov) AS DOUBLE) AS tov, SUM(plus_minus) AS plus_minus
-       FROM staging_game_log GROUP BY 1,2,3),
+       FROM @log GROUP BY 1,2,3),
 staging_team_stats_base AS (SELECT team_id, season, location, CAST(n AS INT) AS gp, w, l, CAST(w AS DOUBLE) / n AS w_pct
        FROM stats_totals),
 staging_team_stats_advanced AS (SELECT team_id, season, location,
@@ -73,28 +76,38 @@ staging_team_stats_advanced AS (SELECT team_id, season, location,
 """
 
 
-def staging_sql(orders: str = "orders", customer: str = "customer") -> str:
-    """The staging tables as a list of named subqueries over the two given tables."""
+def _log_and_teams_sql(orders: str, customer: str) -> str:
     return (
-        _STAGING.replace("@orders", orders)
+        _LOG_AND_TEAMS.replace("@orders", orders)
         .replace("@customer", customer)
         .replace("@rounds", str(ROUNDS_PER_BLOCK))
         .replace("@block", str(ORDERS_PER_BLOCK))
     )
 
 
-def derive_staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Derive the four staging tables from the Parquet tables in ``sf_dir``."""
+def staging_sql() -> str:
+    """The staging tables as a list of named subqueries over ``orders`` and ``customer``."""
+    return ",".join(
+        [_log_and_teams_sql("orders", "customer"), _STATS.replace("@log", "staging_game_log")]
+    )
+
+
+def derive_log_and_teams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The game log and the teams, from the Parquet tables in ``sf_dir``."""
     tables = {
         name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("orders", "customer")
     }
-    with_clause = "WITH " + staging_sql("{orders}", "{customer}")
-    return {
-        name: spark.sql(f"{with_clause} SELECT * FROM {name}", **tables)
-        for name in (
-            "staging_teams",
-            "staging_game_log",
-            "staging_team_stats_base",
-            "staging_team_stats_advanced",
-        )
-    }
+    with_clause = "WITH " + _log_and_teams_sql("{orders}", "{customer}")
+    return (
+        spark.sql(f"{with_clause} SELECT * FROM staging_game_log", **tables),
+        spark.sql(f"{with_clause} SELECT * FROM staging_teams", **tables),
+    )
+
+
+def derive_stats(spark: SparkSession, game_log: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The base and the advanced season stats of a game log."""
+    with_clause = "WITH " + _STATS.replace("@log", "{game_log}")
+    return (
+        spark.sql(f"{with_clause} SELECT * FROM staging_team_stats_base", game_log=game_log),
+        spark.sql(f"{with_clause} SELECT * FROM staging_team_stats_advanced", game_log=game_log),
+    )
