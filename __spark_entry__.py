@@ -48,34 +48,40 @@ _prepared: dict[tuple[str, str, str], object] = {}
 
 
 def _once(spark: SparkSession, sf_dir: str, label: str, prepare: Callable):
-    """What ``prepare`` returned for a new scratch path, once per session and input folder."""
+    """What ``prepare`` returned, called once per session and input folder."""
     key = (spark.sparkContext.applicationId, sf_dir, label)
     if key not in _prepared:
-        _prepared[key] = prepare(scratch_path(spark, label))
+        _prepared[key] = prepare()
     return _prepared[key]
 
 
-def staging_tables(spark: SparkSession, sf_dir: str) -> Staging:
-    def prepare(path: str) -> Staging:
-        log, teams = derive_log_and_teams(spark, sf_dir)
-        game_log = keep(log, "game_log")
-        base, advanced = derive_stats(spark, game_log)
-        return Staging(
-            teams=keep(teams, "teams"),
-            game_log=game_log,
-            team_stats_base=keep(base, "team_stats_base"),
-            team_stats_advanced=keep(advanced, "team_stats_advanced"),
-        )
+def derive_staging(spark: SparkSession, sf_dir: str) -> Staging:
+    """Derive and write the staging tables; the stats are read from the written game log."""
+    log, teams = derive_log_and_teams(spark, sf_dir)
+    game_log = keep(log, "game_log")
+    base, advanced = derive_stats(spark, game_log)
+    return Staging(
+        teams=keep(teams, "teams"),
+        game_log=game_log,
+        team_stats_base=keep(base, "team_stats_base"),
+        team_stats_advanced=keep(advanced, "team_stats_advanced"),
+    )
 
-    return _once(spark, sf_dir, "staging", prepare)
 
+def write_and_read_star(spark: SparkSession, staging: Staging) -> Star:
+    path = scratch_path(spark, "star")
+    write_star(build_star(staging), path)
+    return read_star(spark, path)
+
+
+def staging_tables(spark: SparkSession, sf_dir: str) -> Staging:
+    return _once(spark, sf_dir, "staging", lambda: derive_staging(spark, sf_dir))
 
-def star_tables(spark: SparkSession, sf_dir: str) -> Star:
-    def prepare(path: str) -> Star:
-        write_star(build_star(staging_tables(spark, sf_dir)), path)
-        return read_star(spark, path)
 
-    return _once(spark, sf_dir, "star", prepare)
+def star_tables(spark: SparkSession, sf_dir: str) -> Star:
+    return _once(
+        spark, sf_dir, "star", lambda: write_and_read_star(spark, staging_tables(spark, sf_dir))
+    )
 
 
 def _analysis(name: str) -> Query:
@@ -97,7 +103,8 @@ def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _landed(spark: SparkSession, sf_dir: str, table: str, read: Callable) -> DataFrame:
     """Land a derived staging table as JSON Lines and read it back with the landing reader."""
 
-    def prepare(path: str) -> str:
+    def prepare() -> str:
+        path = scratch_path(spark, f"landed_{table}")
         getattr(staging_tables(spark, sf_dir), table).write.json(path)
         return path
 

@@ -4,7 +4,8 @@ A plain window puts a whole group into one task. That is right for most groups,
 user or season may hold a large share of all rows. The operators here find such hot groups by
 a pre-aggregated count and cut them into ordered chunks: the rows are range-partitioned on the
 group and order columns and written with their chunk number, windows run per chunk, and only
-the rows at chunk borders (or one total per chunk) meet in one place.
+the rows at chunk borders (or one total per chunk) meet in one place. The count, and the chunks
+when there are hot groups, are computed while the plan is being built.
 """
 
 from __future__ import annotations
