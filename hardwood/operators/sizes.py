@@ -35,10 +35,13 @@ def hot_groups(
 ) -> tuple[DataFrame, int] | None:
     """The groups of ``keys`` with more than ``rows`` rows, and how many rows they hold.
 
-    Counts are combined before the shuffle, so a hot key costs no more than another. At most
-    one group per ``rows`` rows can be hot, which bounds the returned table. Its columns carry
-    the prefix ``_hot_``.
+    No group is larger than the whole table, which for a stored table is counted from its file
+    footers. Beyond that, counts are combined before the shuffle, so a hot key costs no more
+    than another. At most one group per ``rows`` rows can be hot, which bounds the returned
+    table. Its columns carry the prefix ``_hot_``.
     """
+    if df.count() <= rows:
+        return None
     hot = (
         df.groupBy(*[F.col(key).alias(f"_hot_{key}") for key in keys])
         .agg(F.count(F.lit(1)).alias("_hot_rows"))

@@ -62,9 +62,9 @@ def look_back(
 ) -> DataFrame:
     """Add window columns that look at the current row and at most ``depth`` rows before it.
 
-    ``sized_by`` is a cheaper frame with the same number of rows per group as ``df``, for the
-    search for hot groups. ``arrange`` may lay out the frame of ordinary groups before its
-    window. End ``order`` with a column that is unique in its group to fix the order of ties.
+    ``sized_by`` is a stored table with at least as many rows per group as ``df``, for a cheaper
+    search for hot groups. ``arrange`` may lay out the frame before its window when no group is
+    hot. End ``order`` with a column that is unique in its group to fix the order of ties.
     """
     window_order = ascending(order)
     names = list(columns)

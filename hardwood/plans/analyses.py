@@ -171,7 +171,7 @@ def rolling_home_win_pct(star: Star) -> DataFrame:
         value="win",
         rows=10,
         name="rolling",
-        sized_by=home,
+        sized_by=star.fact_team_game,
         arrange=lambda df: df.repartitionByRange(*ascending(["team_id", "season_id"])),
     )
     teams = broadcast_if_small(star.dim_team.select("team_id", "full_name"))

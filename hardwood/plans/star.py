@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +37,12 @@ class Star:
     fact_team_season: DataFrame
 
 
+def create_views(tables: Staging | Star) -> None:
+    """Make the tables available to ``spark.sql`` under their names, for questions of one's own."""
+    for field in fields(tables):
+        getattr(tables, field.name).createOrReplaceTempView(field.name)
+
+
 def dim_team(teams: DataFrame) -> DataFrame:
     return conform(
         teams.withColumnRenamed("id", "team_id").withColumn(

@@ -8,6 +8,7 @@ from contextlib import contextmanager
 import pytest
 
 import __spark_entry__ as contract
+from hardwood.operators.sizes import broadcast_if_small
 
 QUERIES = contract.queries()
 
@@ -32,6 +33,14 @@ def test_no_pairs_and_no_python_in_plans(spark, sf_dir, key):
         assert operator not in plan
 
 
+def test_broadcast_only_when_counted_small(spark):
+    left, right = spark.range(50), spark.range(10)
+    with large_tables(spark):
+        small = plan_of(left.join(broadcast_if_small(right, rows=10), "id"))
+        large = plan_of(left.join(broadcast_if_small(right, rows=9), "id"))
+    assert "BroadcastHashJoin" in small and "SortMergeJoin" in large
+
+
 def test_fact_build_shuffles_wide_rows_once(spark, sf_dir):
     with large_tables(spark):
         plan = plan_of(QUERIES["fact_team_game"](spark, sf_dir))

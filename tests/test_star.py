@@ -17,7 +17,14 @@ from hardwood.operators.quality import (
 )
 from hardwood.plans import star as plans
 from hardwood.plans.analyses import ANALYSES
-from hardwood.plans.star import ConstraintViolation, Staging, Star, build_star, require_valid
+from hardwood.plans.star import (
+    ConstraintViolation,
+    Staging,
+    Star,
+    build_star,
+    create_views,
+    require_valid,
+)
 from hardwood.sources import schemas
 
 
@@ -222,6 +229,15 @@ def test_quality_checks(spark):
     assert {tuple(row) for row in counts} == {("all", 4), ("none", 0)}
 
 
+def test_star_answers_sql(spark, staging):
+    create_views(build_star(staging))
+    found = spark.sql(
+        "SELECT full_name, count(*) AS games FROM fact_team_game JOIN dim_team USING (team_id) "
+        "JOIN dim_season USING (season_id) WHERE season_start_year = 1999 GROUP BY full_name"
+    )
+    assert {tuple(row) for row in found.collect()} == {("Team 1", 3), ("Team 2", 2)}
+
+
 def test_null_result_counts_as_a_loss(staging):
     star = build_star(staging)
     rows = {(r.rest_bucket, r.is_home): r for r in ANALYSES["q4_back_to_back"].run(star).collect()}
