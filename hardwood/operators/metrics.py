@@ -109,5 +109,5 @@ def with_tier(
         larger + F.floor(F.try_divide(position - in_larger, small))
     )
     return placed.join(sizes, same_keys(placed, sizes, keys, "_of_")).select(
-        *[placed[column] for column in df.columns], (tier + 1).cast("int").alias(name)
+        *df.columns, (tier + 1).cast("int").alias(name)
     )

@@ -50,7 +50,7 @@ def with_opponent(
         return F.when(is_low, F.col(f"_low{suffix}")).when(is_high, F.col(f"_high{suffix}"))
 
     return joined.select(
-        *[joined[column] for column in df.columns],
+        *df.columns,
         of_other().alias(opponent),
         *[of_other(f"_{column}").alias(name) for column, name in carry.items()],
         *[of_own(f"_{column}").alias(column) for column in own],

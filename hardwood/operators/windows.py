@@ -168,6 +168,6 @@ def row_positions(
     in_chunk = Window.partitionBy(_CHUNK, *keys).orderBy(*chunk_order)
     numbered = chunked.withColumn("_in_chunk", F.row_number().over(in_chunk))
     return numbered.join(starts, same_keys(numbered, starts, [_CHUNK, *keys], "_at_")).select(
-        *[numbered[column] for column in df.columns],
+        *df.columns,
         (F.col("_before") + F.col("_in_chunk")).alias(name),
     )

@@ -9,8 +9,10 @@ from pyspark.sql.types import (
     DateType,
     DoubleType,
     FloatType,
+    FractionalType,
     IntegerType,
     StringType,
+    StructField,
     StructType,
 )
 
@@ -95,15 +97,15 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     Names are matched without regard to case. Floating-point columns that become integers are
     rounded half to even; every other change of type is a plain cast, which raises on overflow.
     """
-    types = {field.name.lower(): field.dataType for field in df.schema.fields}
-
-    def column(field) -> Column:
-        source = F.col(field.name)
-        found = types[field.name.lower()]
-        if isinstance(field.dataType, IntegerType) and isinstance(found, (DoubleType, FloatType)):
+    found = {field.name.lower(): field for field in df.schema.fields}
+
+    def column(wanted: StructField) -> Column | str:
+        given = found[wanted.name.lower()]
+        if (given.name, given.dataType) == (wanted.name, wanted.dataType):
+            return wanted.name
+        source = F.col(given.name)
+        if isinstance(wanted.dataType, IntegerType) and isinstance(given.dataType, FractionalType):
             source = to_int_half_even(source)
-        elif found != field.dataType:
-            source = source.cast(field.dataType)
-        return source.alias(field.name)
+        return source.cast(wanted.dataType).alias(wanted.name)
 
     return df.select(*[column(field) for field in schema.fields])
