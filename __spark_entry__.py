@@ -7,12 +7,17 @@ the full run does. Every query reads whole tables.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 from dataclasses import fields
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The driver may load this file by its path from another folder.
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 from hardwood.functions.compat import round_half_away
 from hardwood.functions.season import season_label
 from hardwood.operators.metrics import (
