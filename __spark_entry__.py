@@ -47,6 +47,15 @@ from hardwood.sources import landed
 from hardwood.sources.derived import derive_log_and_teams, derive_stats
 from oracle.queries_sql import expected
 
+try:  # the text operators and their pipeline are optional
+    import corpus_pipeline
+    from hardwood.llm import queries as text_queries
+    from hardwood.llm import queries_sql as text_sql
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "hardwood.llm"):
+        raise
+    corpus_pipeline = text_queries = text_sql = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _prepared: dict[tuple[str, str, str], object] = {}
@@ -310,8 +319,15 @@ def queries() -> dict[str, Query]:
         "row_counts": count_rows,
         "export_roundtrip": export_roundtrip,
         "export_catalog": export_catalog,
+        **_text_queries(),
     }
 
 
+def _text_queries() -> dict[str, Query]:
+    if text_queries is None:
+        return {}
+    return {**text_queries.queries(), "pipeline": corpus_pipeline.run}
+
+
 def oracle_sql() -> dict[str, str]:
-    return expected()
+    return expected() if text_sql is None else {**expected(), **text_sql.oracle_sql()}
