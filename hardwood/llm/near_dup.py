@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hardwood.llm.common import WordHashes, fold_rows, map_rows, row_count, shingle_set
+from hardwood.llm.common import WordHashes, map_rows, possibly_in, row_count, shingle_set
 from hardwood.llm.components import smallest_reachable
 from hardwood.sinks.scratch import keep
 
@@ -246,6 +246,8 @@ def _verified(
     dealt = _blocks(sized.join(blocks, "root").drop("n_shingles"), "root", "id")
     dealt = dealt.dropDuplicates(["tile", "id"]).select("tile", "id")
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+    # Most documents are in no family: their texts need not be shuffled.
+    texts = possibly_in(texts, "id", sized.select("id"), row_count(sized))
     tiles = dealt.join(texts, "id")
 
     def edges(group):
