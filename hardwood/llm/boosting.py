@@ -10,7 +10,7 @@ BINS = 32
 class BoostedTrees:
     """Complete trees of one depth: feature and threshold per inner node, value per leaf."""
 
-    def __init__(self, trees: int = 40, depth: int = 4, rate: float = 0.3, ridge: float = 1.0):
+    def __init__(self, trees: int = 60, depth: int = 4, rate: float = 0.3, ridge: float = 1.0):
         self.trees, self.depth, self.rate, self.ridge = trees, depth, rate, ridge
 
     def binned(self, x: np.ndarray) -> np.ndarray:

@@ -131,28 +131,27 @@ def shingle_set(hashes: np.ndarray, size: int) -> np.ndarray:
 FILTER_BITS = 1 << 25
 
 
-def possibly_in(df: DataFrame, column: str, ids: DataFrame, expected: int) -> DataFrame:
-    """Rows of ``df`` whose ``column`` may be among the one column of ``ids``; loses none of them.
+def id_filter(ids: DataFrame, expected: int) -> Callable[[str], Column]:
+    """A condition on a column that holds for every one of ``ids`` (one column), and few others.
 
     A one-hash Bloom filter of about sixteen bits an id, ``FILTER_BITS`` at most: beyond that it
-    lets more rows pass, which the join that follows drops. NULLs do not pass.
+    lets more rows pass, which the join that follows drops. It does not hold for NULL.
     """
     bits = 1 << max(10, min(FILTER_BITS.bit_length() - 1, (16 * expected).bit_length()))
-    place = lambda c: F.pmod(F.xxhash64(c, F.lit(97)), F.lit(bits))
-    spot = place(F.col(ids.columns[0]))
-    words = ids.select(spot.alias("spot")).groupBy(F.expr("spot div 32").alias("word")).agg(
+    place = lambda c: F.pmod(F.xxhash64(F.col(c).cast("long"), F.lit(97)), F.lit(bits))
+    words = ids.select(place(ids.columns[0]).alias("spot")).groupBy(F.expr("spot div 32").alias("word")).agg(
         F.expr("bit_or(shiftleft(1L, CAST(spot % 32 AS INT)))").alias("mask")
     ).toPandas()
     packed = np.zeros(bits >> 5, np.uint32)
     packed[words["word"].to_numpy(np.int64)] = words["mask"].to_numpy(np.int64).astype(np.uint32)
-    shared = df.sparkSession.sparkContext.broadcast(packed)
+    shared = ids.sparkSession.sparkContext.broadcast(packed)
 
     @F.pandas_udf("boolean")
     def passes(at: pd.Series) -> pd.Series:
         at = at.to_numpy(np.int64)
         return pd.Series(((shared.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1).astype(bool))
 
-    return df.filter(F.col(column).isNotNull()).filter(passes(place(F.col(column).cast("long"))))
+    return lambda column: F.col(column).isNotNull() & passes(place(column))
 
 
 _shipped: set[str] = set()

@@ -216,7 +216,7 @@ def _features(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 _SYLLABLES = "ar be con der el fin gra hi in jo ka lum mer no ort pre qui ra sto tion und ver wel zu".split()
 
 
-def labelled_pages(count: int = 320, seed: int = 23) -> list[str]:
+def labelled_pages(count: int = 800, seed: int = 23) -> list[str]:
     """Small training table: pages whose blocks say by data-keep whether they are article text."""
     rng = np.random.default_rng(seed)
     pick = lambda items: items[int(rng.integers(len(items)))]
@@ -245,7 +245,7 @@ def labelled_pages(count: int = 320, seed: int = 23) -> list[str]:
         }[kind]
         tag, attributes = pick(some)
         if kind in ("nav", "share"):
-            inner = links(rng.integers(2, 9)) if tag == "ul" or rng.random() < 0.7 else text(2, 12)
+            inner = links(rng.integers(1, 9)) if tag == "ul" or rng.random() < 0.7 else text(1, 12)
             inner = inner if tag == "ul" else f"<ul>{inner}</ul>"
         elif kind in ("comments", "side"):
             inner = "".join(f"<p>{text(3, 50)}</p>" for _ in range(rng.integers(1, 5)))
@@ -259,19 +259,20 @@ def labelled_pages(count: int = 320, seed: int = 23) -> list[str]:
         body = [f"<h1>{text(2, 10)}</h1>"] if rng.random() < 0.8 else []
         for _ in range(rng.integers(1, 12)):
             kind = rng.random()
-            if kind < 0.72:
+            if kind < 0.58:
                 body.append(f"<p>{text(1, 90)}</p>")
-            elif kind < 0.80:
+            elif kind < 0.65:
                 body.append(f"<h2>{text(1, 7)}</h2>")
-            elif kind < 0.86:
-                body.append("<ul>" + "".join(f"<li>{text(2, 20)}</li>" for _ in range(rng.integers(2, 6))) + "</ul>")
-            elif kind < 0.90:
+            elif kind < 0.78:
+                kind, most = pick(["ul", "ol"]), pick([2, 6, 25])
+                body.append(f"<{kind}>" + "".join(f"<li>{text(1, most)}</li>" for _ in range(rng.integers(1, 7))) + f"</{kind}>")
+            elif kind < 0.82:
                 body.append(f"<blockquote><p>{text(5, 40)}</p></blockquote>")
-            elif kind < 0.93:
+            elif kind < 0.85:
                 body.append(f"<p>{text(5, 30)} <a href=x>{text(1, 5)}</a> {text(3, 20)}</p>")
             else:
                 body.append(junk(pick(["ad", "share", "side", "notice", "form", "nav"])))
-        if rng.random() < 0.2:
+        if rng.random() < 0.3:
             body.append(junk(pick(["comments", "share", "footer"])))
         tag, attributes = pick(
             [("article", ""), ("article", 'class="post"'), ("article", ""), ("main", ""), ("main", 'id="content"'), ("div", 'class="entry-content"'),

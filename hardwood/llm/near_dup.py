@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hardwood.llm.common import WordHashes, map_rows, possibly_in, row_count, shingle_set
+from hardwood.llm.common import WordHashes, id_filter, map_rows, row_count, shingle_set
 from hardwood.llm.components import smallest_reachable
 from hardwood.sinks.scratch import keep
 
@@ -247,7 +247,7 @@ def _verified(
     dealt = dealt.dropDuplicates(["tile", "id"]).select("tile", "id")
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     # Most documents are in no family: their texts need not be shuffled.
-    texts = possibly_in(texts, "id", sized.select("id"), row_count(sized))
+    texts = texts.filter(id_filter(sized.select("id"), row_count(sized))("id"))
     tiles = dealt.join(texts, "id")
 
     def edges(group):
@@ -308,13 +308,14 @@ def _tied(edges: DataFrame, real: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each component, one row of each document."""
     found = keep(near_duplicates(docs, doc_id=doc_id, text=text, **options), "near_duplicates")
-    ids = found.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_copies"))
-    key = F.col(doc_id).cast("long") == F.col("_id")
-    ids = ids.withColumnRenamed("doc_id", "_id")
-    once = docs.join(ids.filter("_copies = 1"), key, "left_semi")
-    again = ids.filter("_copies > 1")
-    out = once.unionByName(docs.filter(F.col(doc_id).isNull()))
-    if again.isEmpty():
+    ids = found.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id"))
+    ids = ids.agg(F.max("kept").alias("_kept"), F.count(F.lit(1)).alias("_copies"))
+    judged = keep(ids.filter("NOT _kept OR _copies > 1").select("_id", "_kept"), "judged")
+    # Only rows whose id may be dropped or repeated have to meet the decisions; the rest pass.
+    touched = id_filter(judged.select("_id"), row_count(judged))(doc_id)
+    met = docs.filter(touched).join(judged, F.col(doc_id).cast("long") == F.col("_id"), "left")
+    out = docs.filter(~touched).unionByName(met.filter(F.col("_id").isNull()).select(*docs.columns))
+    if judged.filter("_kept").isEmpty():
         return out
-    # Rows that share an id: one of them stays.
-    return out.unionByName(docs.join(again, key, "left_semi").dropDuplicates([doc_id]))
+    # Of rows that share an id, one stays.
+    return out.unionByName(met.filter("_kept").select(*docs.columns).dropDuplicates([doc_id]))
