@@ -238,14 +238,14 @@ def labelled_pages(count: int = 800, seed: int = 23) -> list[str]:
             "comments": [("section", 'id="comments"'), ("div", 'class="comment-list"'), ("ol", 'class="commentlist"')],
             "notice": [("div", 'class="cookie-notice"'), ("div", 'id="consent"'), ("div", 'role="alert"'), ("p", 'class="notice"')],
             "side": [("aside", ""), ("div", 'class="sidebar"'), ("div", 'class="widget related"')],
-            "share": [("div", 'class="share"'), ("ul", 'class="social-links"')],
+            "share": [("div", 'class="share"'), ("div", 'class="sharing"'), ("ul", 'class="social-links"')],
             "footer": [("footer", ""), ("div", 'class="footer"'), ("div", 'id="copyright"')],
             "header": [("header", ""), ("div", 'id="masthead"'), ("div", 'class="header"')],
             "form": [("form", ""), ("div", 'class="newsletter"'), ("form", 'class="search"')],
         }[kind]
         tag, attributes = pick(some)
         if kind in ("nav", "share"):
-            inner = links(rng.integers(1, 9)) if tag == "ul" or rng.random() < 0.7 else text(1, 12)
+            inner = links(rng.integers(1, 9)) if tag == "ul" or rng.random() < (0.7 if kind == "nav" else 0.3) else text(1, 12)
             inner = inner if tag == "ul" else f"<ul>{inner}</ul>"
         elif kind in ("comments", "side"):
             inner = "".join(f"<p>{text(3, 50)}</p>" for _ in range(rng.integers(1, 5)))
