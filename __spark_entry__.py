@@ -125,24 +125,57 @@ def _landed(spark: SparkSession, sf_dir: str, table: str, read: Callable) -> Dat
     return read(spark, _once(spark, sf_dir, f"landed_{table}", prepare), lines=True)
 
 
+def stg_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Teams landed as one indented array (30 rows a block of games) and read back."""
+
+    def prepare() -> str:
+        path = scratch_path(spark, "landed_team_array")
+        # A team is one of a few dozen groups of customers, so the array is small.
+        rows = staging_tables(spark, sf_dir).teams.select(F.struct("*").alias("team"))
+        whole = rows.agg(F.to_json(F.collect_list("team"), {"pretty": "true"}).alias("value"))
+        whole.write.text(path)
+        return path
+
+    return landed.read_teams(spark, _once(spark, sf_dir, "landed_team_array", prepare))
+
+
+def _named_files(df: DataFrame, folder: str) -> None:
+    """Write each group of ``file_name`` as the JSON Lines file of that name in ``folder``."""
+    spark = df.sparkSession
+    parts = scratch_path(spark, "named")
+    df.repartition("file_name").write.partitionBy("file_name").json(parts)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(folder)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(target)
+    for found in system.globStatus(hadoop.Path(f"{parts}/file_name=*/part-*")):
+        name = found.getPath().getParent().getName().removeprefix("file_name=")
+        system.rename(found.getPath(), hadoop.Path(f"{folder}/{name}"))
+
+
 def stg_team_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both stats tables in one, with season and location taken from each row's file name."""
-    staging = staging_tables(spark, sf_dir)
+    """Both stats tables, landed as a file per season, place and kind, read back by their names."""
 
-    def named(df: DataFrame, kind: str) -> DataFrame:
-        name = F.concat("season", F.lit("_"), "location", F.lit(f"_{kind}_team_stats.json"))
-        return df.withColumn("file_name", name).drop("season", "location")
+    def prepare() -> str:
+        staging = staging_tables(spark, sf_dir)
+        folder = scratch_path(spark, "landed_stats")
 
-    base = named(staging.team_stats_base, "Base")
-    advanced = named(staging.team_stats_advanced, "Advanced")
-    name = F.col("file_name")
-    files = base.unionByName(advanced, allowMissingColumns=True)
-    return (
-        files.filter(landed.is_base_file(name) | landed.is_advanced_file(name))
-        .withColumn("season", landed.season_of_file(name))
-        .withColumn("location", landed.location_of_file(name))
-        .drop("file_name")
-    )
+        def named(df: DataFrame, kind: str) -> DataFrame:
+            name = F.concat("season", F.lit("_"), "location", F.lit(f"_{kind}_team_stats.json"))
+            return df.withColumn("file_name", name).drop("season", "location")
+
+        base = named(staging.team_stats_base, "Base")
+        advanced = named(staging.team_stats_advanced, "Advanced")
+        # A file of neither kind belongs to no table.
+        other = base.withColumn("file_name", F.lit("2001-02_Home_Other_team_stats.json"))
+        files = base.unionByName(advanced, allowMissingColumns=True)
+        _named_files(files.unionByName(other, allowMissingColumns=True), folder)
+        return folder
+
+    folder = _once(spark, sf_dir, "landed_stats", prepare)
+    base = landed.read_team_stats_base(spark, folder, lines=True)
+    advanced = landed.read_team_stats_advanced(spark, folder, lines=True)
+    return base.unionByName(advanced, allowMissingColumns=True)
 
 
 def opponent_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,18 +265,18 @@ def cond_avg_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def days_since_previous_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def days_since_previous_events(spark: SparkSession, sf_dir: str, **sizing) -> DataFrame:
     events = _table(spark, sf_dir, "events").select(
         "event_id", "user_id", "ts", F.to_date("ts").alias("day")
     )
-    return days_since_previous(events, ["user_id"], "day", "days_since", ["ts", "event_id"]).select(
+    return days_since_previous(events, ["user_id"], "day", "days_since", ["ts", "event_id"], **sizing).select(
         "event_id", "user_id", "days_since"
     )
 
 
-def rolling_mean_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rolling_mean_events(spark: SparkSession, sf_dir: str, **sizing) -> DataFrame:
     events = _table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
-    rolled = rolling_mean(events, ["user_id"], ["ts", "event_id"], "value", 10, "rolling")
+    rolled = rolling_mean(events, ["user_id"], ["ts", "event_id"], "value", 10, "rolling", **sizing)
     return rolled.select(
         "event_id", "user_id", round_half_away(F.col("rolling"), 4).alias("rolling_value")
     )
@@ -283,7 +316,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
-        "stg_teams": lambda s, d: _landed(s, d, "teams", landed.read_teams),
+        "stg_teams": stg_teams,
         "stg_game_log": lambda s, d: _landed(s, d, "game_log", landed.read_game_log),
         "stg_team_stats": stg_team_stats,
         "dim_team": lambda s, d: star_plans.dim_team(staging_tables(s, d).teams),
@@ -305,6 +338,9 @@ def queries() -> dict[str, Query]:
         "cond_avg_lineitem": cond_avg_lineitem,
         "days_since_previous_events": days_since_previous_events,
         "rolling_mean_events": rolling_mean_events,
+        # The same with groups of more than a few rows cut into chunks, as hot groups are.
+        "days_since_previous_events_hot": lambda s, d: days_since_previous_events(s, d, rows_per_task=40),
+        "rolling_mean_events_hot": lambda s, d: rolling_mean_events(s, d, rows_per_task=40),
         **{name: _analysis(name) for name in ANALYSES},
         "dq_primary_key": lambda s, d: primary_key_violations(
             _table(s, d, "lineitem"), ["l_orderkey", "l_linenumber"]

@@ -20,8 +20,8 @@ def with_opponent(
     """Add the ``side`` of the other row of the same ``event``, and its ``carry`` columns.
 
     Rows whose event has no second side get NULLs, as in a left outer self join on equal events
-    and unequal sides. An event has at most two sides; :func:`crowded_events` lists those with
-    more, which a load must refuse. So one aggregated row per event replaces the self join: no
+    and unequal sides. An event has at most two rows: reading the opponent of one with more raises
+    (:func:`crowded_events` lists them), so no result is silently incomplete. So one aggregated row per event replaces the self join: no
     pairs are formed, copies of an event collapse before the shuffle, and the join back has one
     row per key on its right side, which adaptive execution can split when a key is hot.
 
@@ -34,6 +34,7 @@ def with_opponent(
     per_event = sides.groupBy(event).agg(
         F.min(side).alias("_low"),
         F.max(side).alias("_high"),
+        F.count(F.lit(1)).alias("_rows"),
         *[F.min_by(column, side).alias(f"_low_{column}") for column in spread],
         *[F.max_by(column, side).alias(f"_high_{column}") for column in spread],
     )
@@ -42,9 +43,16 @@ def with_opponent(
     is_high = F.col(side) == F.col("_high")
     two_sided = F.col("_low") != F.col("_high")
 
+    crowded = F.raise_error(F.concat(F.lit(f"more than two rows of {event} "), F.col(event).cast("string")))
+
     def of_other(suffix: str = "") -> Column:
         low, high = F.col(f"_low{suffix}"), F.col(f"_high{suffix}")
-        return F.when(two_sided & is_low, high).when(two_sided & is_high, low)
+        kind = sides.schema[suffix[1:] or side].dataType
+        return (
+            F.when(F.col("_rows") > 2, crowded.cast(kind))
+            .when(two_sided & is_low, high)
+            .when(two_sided & is_high, low)
+        )
 
     def of_own(suffix: str) -> Column:
         return F.when(is_low, F.col(f"_low{suffix}")).when(is_high, F.col(f"_high{suffix}"))

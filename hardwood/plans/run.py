@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 
 from hardwood.plans.analyses import ANALYSES
 from hardwood.plans.star import Staging, Star, build_star, require_valid
+from hardwood.sinks.scratch import release
 from hardwood.sinks.tables import (
     export,
     read_staging,
@@ -74,15 +75,18 @@ def run(spark: SparkSession, landing: str, out: str, lines: bool = False) -> dic
 
 
 def main(arguments: list[str]) -> None:
-    if len(arguments) != 2:
-        raise SystemExit("usage: spark-submit ... hardwood/plans/run.py LANDING_URI OUTPUT_URI")
+    lines = "--lines" in arguments
+    places = [argument for argument in arguments if argument != "--lines"]
+    if len(places) != 2:
+        raise SystemExit("usage: spark-submit ... hardwood/plans/run.py [--lines] LANDING_URI OUTPUT_URI")
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(levelname)s %(message)s")
     spark = (
         SparkSession.builder.appName("hardwood")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
-    run(spark, *arguments)
+    run(spark, *places, lines=lines)
+    release(spark)
 
 
 if __name__ == "__main__":

@@ -1,16 +1,20 @@
 """Tables written once and read back, in the shared folder that the session names.
 
 A written table cuts lineage and survives the loss of executors. The folder is the session's
-``spark.checkpoint.dir``. Only a local-mode session that names none gets a folder of its own.
+``spark.checkpoint.dir``. Only a local-mode session that names none (one process, as in tests) gets
+a folder of its own, and a warning. ``release`` removes what an application has written.
 """
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+logger = logging.getLogger(__name__)
+
 _local_folders: dict[str, str] = {}
 
 
@@ -23,6 +27,7 @@ def shared_folder(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _local_folders:
         _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="hardwood-")
+        logger.warning("spark.checkpoint.dir is unset; using %s", _local_folders[context.applicationId])
     return _local_folders[context.applicationId]
 
 
@@ -37,3 +42,10 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove everything this application wrote here; frames read from it are then void."""
+    folder = f"{shared_folder(spark)}/hardwood/{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

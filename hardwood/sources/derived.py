@@ -7,12 +7,21 @@ How games are laid out: the order key gives the season (``% 29``) and a slot; 15
 round by the circle method, so no team plays twice on one date of a season. A block of 30 teams
 plays at most 1,024 rounds per season; further rounds go to the next 30 teams, so that dates and
 the rows of one team and season stay bounded however many orders there are. Game ids are padded
-to seven digits and keep all digits when there are more.
+to seven digits and keep all digits when there are more. Every customer belongs to the team that
+its key gives modulo the number of teams; a team's attributes are the smallest of its customers'.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hardwood.functions.season import EAST_TEAMS, season_label
+
+#: Abbreviations of the teams outside the eastern conference (fixed values).
+WEST_TEAMS = (
+    "DAL", "DEN", "GSW", "HOU", "LAC", "LAL", "MEM", "MIN", "NOP", "OKC", "PHX", "POR", "SAC", "SAS", "UTA",
+)
 
 ROUNDS_PER_BLOCK = 1024
 ORDERS_PER_BLOCK = 29 * 15 * ROUNDS_PER_BLOCK
@@ -51,22 +60,24 @@ staging_game_log AS (SELECT CONCAT('2', CAST(y AS STRING)) AS season_id, CAST(16
        CASE WHEN fg3a = 0 THEN NULL ELSE CAST(fg3m AS DOUBLE) / CAST(fg3a AS DOUBLE) END AS fg3_pct,
        ftm, fta, CAST(ftm AS DOUBLE) / CAST(fta AS DOUBLE) AS ft_pct,
        oreb, dreb, oreb + dreb AS reb, ast, stl, blk, tov, pf, CAST(pts - opts AS DOUBLE) AS plus_minus FROM g6),
-staging_teams AS (SELECT CAST(1610612737 + c_custkey AS INT) AS id, CONCAT('Team ', c_name) AS full_name,
-       substring('BOSBKNNYKPHITORCHICLEDETINDMILATLCHAMIAORLWASDALDENGSWHOULACLALMEMMINNOPOKCPHXPORSACSASUTA', CAST(3*(c_custkey % 30)+1 AS INT), 3) AS abbreviation,
-       c_mktsegment AS nickname, CONCAT('City ', CAST(c_nationkey AS STRING)) AS city, CONCAT('State ', CAST(c_nationkey % 5 AS STRING)) AS state,
-       CAST(1946 + c_custkey % 30 AS INT) AS year_founded
-       FROM @customer
-       WHERE c_custkey < (SELECT 30 + 30 * CAST((MAX(o_orderkey) - MAX(o_orderkey) % @block) / @block AS BIGINT) FROM @orders))
+team_count AS (SELECT 30 + 30 * CAST((MAX(o_orderkey) - MAX(o_orderkey) % @block) / @block AS BIGINT) AS n FROM @orders),
+customers AS (SELECT CAST(c_custkey % (SELECT n FROM team_count) AS INT) AS t, c_name, c_mktsegment, c_nationkey FROM @customer),
+teams AS (SELECT t, MIN(c_name) AS name, MIN(c_mktsegment) AS segment, MIN(c_nationkey) AS nation FROM customers GROUP BY t),
+staging_teams AS (SELECT CAST(1610612737 + t AS INT) AS id, CONCAT('Team ', name) AS full_name,
+       substring('@teams', 3*(t % 30)+1, 3) AS abbreviation,
+       segment AS nickname, CONCAT('City ', CAST(nation AS STRING)) AS city, CONCAT('State ', CAST(nation % 5 AS STRING)) AS state,
+       CAST(1946 + t % 30 AS INT) AS year_founded
+       FROM teams)
 """
 
 _STATS = """
-stats_totals AS (SELECT team_id, CONCAT(substring(season_id,2),'-',LPAD(CAST((CAST(substring(season_id,2) AS INT)+1)%100 AS STRING),2,'0')) AS season,
+stats_totals AS (SELECT team_id, @season AS season,
        CASE WHEN matchup LIKE '%vs.%' THEN 'Home' ELSE 'Road' END AS location,
        CAST(COUNT(*) AS DOUBLE) AS n, CAST(SUM(CASE WHEN wl='W' THEN 1 ELSE 0 END) AS INT) AS w,
        CAST(SUM(CASE WHEN wl='L' THEN 1 ELSE 0 END) AS INT) AS l,
        CAST(SUM(pts) AS DOUBLE) AS pts, CAST(SUM(fga) AS DOUBLE) AS fga, CAST(SUM(fgm) AS DOUBLE) AS fgm,
        CAST(SUM(tov) AS DOUBLE) AS tov, SUM(plus_minus) AS plus_minus
-       FROM @log GROUP BY 1,2,3),
+       FROM @log GROUP BY team_id, season_id, CASE WHEN matchup LIKE '%vs.%' THEN 'Home' ELSE 'Road' END),
 staging_team_stats_base AS (SELECT team_id, season, location, CAST(n AS INT) AS gp, w, l, CAST(w AS DOUBLE) / n AS w_pct
        FROM stats_totals),
 staging_team_stats_advanced AS (SELECT team_id, season, location,
@@ -82,14 +93,17 @@ def _log_and_teams_sql(orders: str, customer: str) -> str:
         .replace("@customer", customer)
         .replace("@rounds", str(ROUNDS_PER_BLOCK))
         .replace("@block", str(ORDERS_PER_BLOCK))
+        .replace("@teams", "".join((*EAST_TEAMS, *WEST_TEAMS)))
     )
 
 
-def staging_sql() -> str:
-    """The staging tables as a list of named subqueries over ``orders`` and ``customer``."""
-    return ",".join(
-        [_log_and_teams_sql("orders", "customer"), _STATS.replace("@log", "staging_game_log")]
-    )
+def staging_sql(season: str) -> str:
+    """The staging tables as a list of named subqueries over ``orders`` and ``customer``.
+
+    ``season`` is the SQL of a season's label from ``season_id``.
+    """
+    stats = _STATS.replace("@log", "staging_game_log").replace("@season", season)
+    return ",".join([_log_and_teams_sql("orders", "customer"), stats])
 
 
 def derive_log_and_teams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -106,8 +120,10 @@ def derive_log_and_teams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, D
 
 def derive_stats(spark: SparkSession, game_log: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The base and the advanced season stats of a game log."""
-    with_clause = "WITH " + _STATS.replace("@log", "{game_log}")
-    return (
-        spark.sql(f"{with_clause} SELECT * FROM staging_team_stats_base", game_log=game_log),
-        spark.sql(f"{with_clause} SELECT * FROM staging_team_stats_advanced", game_log=game_log),
-    )
+    with_clause = "WITH " + _STATS.replace("@log", "{game_log}").replace("@season", "season_id")
+
+    def labelled(table: str) -> DataFrame:
+        rows = spark.sql(f"{with_clause} SELECT * FROM {table}", game_log=game_log)
+        return rows.withColumn("season", season_label(F.col("season")))
+
+    return labelled("staging_team_stats_base"), labelled("staging_team_stats_advanced")

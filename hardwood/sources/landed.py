@@ -10,23 +10,41 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
+from hardwood.functions.compat import to_int_half_even
 from hardwood.sources import schemas
 from hardwood.sources.schemas import conform
 
 
 def _read(spark: SparkSession, path: str, schema: StructType, lines: bool) -> DataFrame:
-    """Read JSON whose keys are all upper case or all lower case, as found in its first row.
+    """Rows of landed JSON objects, with their columns by lower-cased key and ``file_name``.
 
-    Spark matches JSON keys to the schema by exact case. Looking at one row settles which case
-    the files use; the columns always come out in lower case.
+    Keys may be in any case, also mixed within a landing. Values are taken as written and cast:
+    a whole number may be landed as ``41.0``. A file, or line, that is no complete JSON raises and
+    is named; nothing is guessed from samples and nothing is dropped. Keys beyond the schema are
+    ignored, and a missing key gives NULL.
     """
-    upper = StructType([StructField(f.name.upper(), f.dataType) for f in schema.fields])
-    reader = spark.read.option("multiLine", not lines)
-    first = reader.schema(upper).json(path).first()
-    is_upper = first is not None and any(value is not None for value in first)
-    return reader.schema(upper if is_upper else schema).json(path)
+    objects = "map<string,string>" if lines else "array<map<string,string>>"
+    texts = spark.read.text(path, wholetext=not lines).select(
+        "value", F.col("_metadata.file_name").alias("file_name")
+    )
+    texts = texts.filter(F.trim(F.translate("value", "\r\n\t", "   ")) != "")
+    read = F.from_json("value", objects)
+    damaged = F.raise_error(F.concat(F.lit("damaged JSON in "), F.col("file_name")))
+    checked = F.coalesce(read, damaged.cast(objects))
+    row = checked if lines else F.explode(checked)
+    rows = texts.select("file_name", row.alias("row")).select(
+        "file_name", F.transform_keys("row", lambda key, _: F.lower(key)).alias("row")
+    )
+
+    def value(field: StructField) -> Column:
+        text = F.element_at("row", field.name)
+        if isinstance(field.dataType, IntegerType):
+            return to_int_half_even(text.cast("double")).alias(field.name)
+        return text.cast(field.dataType).alias(field.name)
+
+    return rows.select(*[value(field) for field in schema.fields], "file_name")
 
 
 def read_teams(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
@@ -64,7 +82,7 @@ def _read_stats(
     chosen: Callable[[Column], Column],
     lines: bool,
 ) -> DataFrame:
-    name = F.col("_metadata.file_name")
+    name = F.col("file_name")
     rows = _read(spark, path, file_schema, lines).filter(chosen(name))
     tagged = rows.select(
         "*", season_of_file(name).alias("season"), location_of_file(name).alias("location")

@@ -194,4 +194,5 @@ def expected() -> dict[str, str]:
         **{key: over_star(query) for key, query in _OVER_STAR.items()},
         **{key: over_staging(query) for key, query in _OVER_STAGING.items()},
         **_OVER_TABLES,
+        **{f"{key}_hot": _OVER_TABLES[key] for key in ("days_since_previous_events", "rolling_mean_events")},
     }

@@ -6,6 +6,9 @@ from hardwood.functions import season
 from hardwood.sources.derived import staging_sql
 
 
+_LABEL = "format('{}-{:02d}', substr(season_id, 2)::INT, (substr(season_id, 2)::INT + 1) % 100)"
+
+
 def _values(rows) -> str:
     return ", ".join("(" + ", ".join(repr(value) for value in row) + ")" for row in rows)
 
@@ -59,7 +62,7 @@ results AS (
   SELECT *, (wl IS NOT DISTINCT FROM 'W')::INT AS win FROM fact_team_game)
 """
 
-_STAGED = "WITH " + staging_sql()
+_STAGED = "WITH " + staging_sql(_LABEL)
 
 
 def over_staging(query: str) -> str:

@@ -124,3 +124,56 @@ def test_conference(spark):
         "West",
         "West",
     ]
+
+
+# Written by hand, not taken from the rules: each season's label, era, games and flags.
+SEASONS = """
+1996 1996-97 Pre-Back-to-Back_Reform 82 - -
+1997 1997-98 Pre-Back-to-Back_Reform 82 - -
+1998 1998-99 Pre-Back-to-Back_Reform 50 lockout -
+1999 1999-00 Pre-Back-to-Back_Reform 82 - -
+2000 2000-01 Pre-Back-to-Back_Reform 82 - -
+2001 2001-02 Pre-Back-to-Back_Reform 82 - -
+2002 2002-03 Pre-Back-to-Back_Reform 82 - -
+2003 2003-04 Pre-Back-to-Back_Reform 82 - -
+2004 2004-05 Pre-Back-to-Back_Reform 82 - -
+2005 2005-06 Pre-Back-to-Back_Reform 82 - -
+2006 2006-07 Pre-Back-to-Back_Reform 82 - -
+2007 2007-08 Pre-Back-to-Back_Reform 82 - -
+2008 2008-09 Pre-Back-to-Back_Reform 82 - -
+2009 2009-10 Pre-Back-to-Back_Reform 82 - -
+2010 2010-11 Pre-Back-to-Back_Reform 82 - -
+2011 2011-12 Pre-Back-to-Back_Reform 66 lockout -
+2012 2012-13 Pre-Back-to-Back_Reform 82 - -
+2013 2013-14 Pre-Back-to-Back_Reform 82 - -
+2014 2014-15 Pre-Back-to-Back_Reform 82 - -
+2015 2015-16 Pre-Back-to-Back_Reform 82 - -
+2016 2016-17 Pre-Back-to-Back_Reform 82 - -
+2017 2017-18 Schedule_Reform 82 - -
+2018 2018-19 Schedule_Reform 82 - -
+2019 2019-20 COVID_Bubble 75 - covid
+2020 2020-21 COVID_Compressed 72 - covid
+2021 2021-22 Post-COVID 82 - -
+2022 2022-23 Post-COVID 82 - -
+2023 2023-24 Post-COVID 82 - -
+2024 2024-25 Post-COVID 82 - -
+"""
+
+
+def test_every_season(spark):
+    wanted = [line.split() for line in SEASONS.strip().splitlines()]
+    raw = spark.createDataFrame([(int(w[0]), f"2{w[0]}") for w in wanted], "year int, raw string")
+    year = F.col("year")
+    found = raw.orderBy("year").select(
+        year.cast("string"), season.season_label(F.col("raw")), F.translate(season.era(year), " ", "_"),
+        season.games_in_season(year).cast("string"), F.when(season.is_lockout(year), "lockout").otherwise("-"),
+        F.when(season.is_covid(year), "covid").otherwise("-"),
+    )
+    assert [list(row) for row in found.collect()] == wanted
+
+
+def test_every_team(spark):
+    east = "ATL BKN BOS CHA CHI CLE DET IND MIA MIL NYK ORL PHI TOR WAS".split()
+    west = "DAL DEN GSW HOU LAC LAL MEM MIN NOP OKC PHX POR SAC SAS UTA".split()
+    assert apply(spark, east, season.conference, "string") == ["East"] * 15
+    assert apply(spark, west, season.conference, "string") == ["West"] * 15

@@ -164,3 +164,37 @@ def test_scratch_folder_is_the_one_the_session_names(spark):
     folder = scratch.shared_folder(spark)
     assert folder == named.rstrip("/") if named else folder == scratch.shared_folder(spark)
     assert scratch.scratch_path(spark, "a") != scratch.scratch_path(spark, "a")
+
+
+def test_mixed_cases_and_floats_for_integers(spark, tmp_path):
+    folder = tmp_path / "team_stats"
+    dump(folder / "1999-00_Home_Base_a.json", [{"team_id": 1, "gp": 41.0, "w": 2.5, "l": 3.5, "w_pct": 0.5}], True)
+    dump(folder / "1999-00_Road_Base_b.json", [{"team_id": 2, "gp": 41, "w": 1, "l": None, "w_pct": 1}], False)
+    (folder / "2000-01_Home_Base_c.json").write_text('[{"Team_Id": 3, "Gp": 7, "other": {"x": [1]}}]')
+    rows = landed.read_team_stats_base(spark, str(folder)).collect()
+    assert sorted((r.team_id, r.season, r.location, r.gp, r.w, r.l, r.w_pct) for r in rows) == [
+        (1, "1999-00", "Home", 41, 2, 4, 0.5),
+        (2, "1999-00", "Road", 41, 1, None, 1.0),
+        (3, "2000-01", "Home", 7, None, None, None),
+    ]
+
+
+@pytest.mark.parametrize("lines", [True, False])
+def test_a_damaged_file_raises_and_is_named(spark, tmp_path, lines):
+    landing = tmp_path / "landing"
+    land(landing)
+    cut = landing / "team_stats" / "2000-01_Road_Base_team_stats.json"
+    cut.write_text(cut.read_text()[:-20])
+    with pytest.raises(Exception, match="damaged JSON in .*json"):
+        if lines:
+            landed.read_team_stats_base(spark, str(cut), lines=True).collect()
+        else:
+            plans.run(spark, str(landing), str(tmp_path / "out"))
+
+
+def test_release_removes_what_was_written(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scratch, "shared_folder", lambda _: str(tmp_path))
+    path = scratch.scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    scratch.release(spark)
+    assert tmp_path.exists() and not list(tmp_path.rglob("*.parquet"))

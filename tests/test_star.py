@@ -9,6 +9,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from hardwood.operators.opponents import crowded_events, with_opponent
+from hardwood.sources.derived import derive_log_and_teams
 from hardwood.operators.quality import (
     foreign_key_violations,
     not_null_violations,
@@ -270,3 +271,27 @@ def test_ranks_share_ties(spark, staging):
     assert [(r.tov_differential, r.tov_rank, r.w_pct_rank) for r in rows] == [
         (5.0, 1, 1), (5.0, 1, 1), (1.0, 3, 1),
     ]
+
+
+def test_a_third_side_raises(spark):
+    df = spark.createDataFrame([("e", "a", 1), ("e", "b", 2), ("e", "c", 3)], "event string, side string, score int")
+    for wanted in ("other", "other_score"):
+        with pytest.raises(Exception, match="more than two rows of event e"):
+            with_opponent(df, "event", "side", "other", {"score": "other_score"}).select(wanted).collect()
+    assert with_opponent(df, "event", "side", "other", {}).select("score").count() == 3
+
+
+def test_fixture_beyond_one_block(spark, tmp_path):
+    """Order keys of the first and of later blocks: no team plays twice on one date."""
+    keys = [*range(1, 3000), *range(445_440, 448_000), *range(890_880, 892_000)]
+    orders = spark.createDataFrame([(k, k % 7) for k in keys], "o_orderkey long, o_custkey long")
+    customer = spark.createDataFrame(
+        [(k, f"C{k:04d}", k % 25, "S") for k in range(300)],
+        "c_custkey long, c_name string, c_nationkey int, c_mktsegment string",
+    )
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    customer.write.parquet(f"{tmp_path}/customer.parquet")
+    log, teams = derive_log_and_teams(spark, str(tmp_path))
+    assert log.groupBy("team_id", "game_date").count().filter("count > 1").isEmpty()
+    assert teams.count() == teams.select("id").distinct().count() == 90
+    assert log.join(teams, log.team_id == teams.id, "left_anti").isEmpty()
