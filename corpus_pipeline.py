@@ -51,9 +51,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, token_ids, and the text decoded from them."""
     ship(spark)
-    encoded = tokenize.encode_documents(docs.select("doc_id", "text")).drop("text")
-    decoded = tokenize.decode_documents(encoded)
-    return decoded.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", F.col("decoded").alias("text"))
+    found = tokenize.encode_and_decode(docs.select("doc_id", "text"))
+    return found.withColumnRenamed("decoded", "text")
 
 
 STAGES = [

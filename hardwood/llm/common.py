@@ -20,7 +20,7 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 # Rows that a Python task holds at a time, besides the Arrow batch they come from.
 SLICE_ROWS = 256
 # Words whose hashes (or other results) a Python task remembers before it forgets them all.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

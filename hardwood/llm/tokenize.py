@@ -265,6 +265,26 @@ def encode_documents(docs: DataFrame, model_path: str | None = None, text: str =
     return map_rows(docs, make, "token_ids array<int>")
 
 
+def encode_and_decode(docs: DataFrame, model_path: str | None = None, text: str = "text") -> DataFrame:
+    """Append n_tokens, token_ids and decoded: what the ids say, decoded from them in the same task."""
+    shared, at = _shared(docs, model_path), docs.columns.index(text)
+
+    def make():
+        tokenizer = shared.value
+
+        def compute(part):
+            encoded = tokenizer.encode(part.column(at).to_pylist())
+            sizes = [len(e) // 4 for e in encoded]
+            offsets = np.cumsum([0, *sizes], dtype=np.int32)
+            ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(encoded), np.int32)))
+            return sizes, ids, [tokenizer.decode(e) for e in encoded]
+
+        return compute
+
+    added = "n_tokens long, token_ids array<int>, decoded string"
+    return map_rows(docs, make, added, keep=[c for c in docs.columns if c != text], rows=128)
+
+
 def decode_documents(docs: DataFrame, model_path: str | None = None, ids: str = "token_ids") -> DataFrame:
     """Append decoded (text) to every row that has token ids."""
     shared, at = _shared(docs, model_path), docs.columns.index(ids)
