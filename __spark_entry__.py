@@ -10,6 +10,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 from dataclasses import fields
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,7 +41,7 @@ from hardwood.operators.windows import days_since_previous, rolling_mean
 from hardwood.plans import star as star_plans
 from hardwood.plans.analyses import ANALYSES
 from hardwood.plans.run import export_all
-from hardwood.plans.star import Staging, Star, build_star, star_violations
+from hardwood.plans.star import Staging, Star, build_star, require_valid, star_violations
 from hardwood.sinks.scratch import keep, scratch_path
 from hardwood.sinks.tables import export, read_star, write_star
 from hardwood.sources import landed
@@ -85,7 +86,9 @@ def derive_staging(spark: SparkSession, sf_dir: str) -> Staging:
 def write_and_read_star(spark: SparkSession, staging: Staging) -> Star:
     path = scratch_path(spark, "star")
     write_star(build_star(staging), path)
-    return read_star(spark, path)
+    star = read_star(spark, path)
+    require_valid(star)
+    return star
 
 
 def staging_tables(spark: SparkSession, sf_dir: str) -> Staging:
@@ -230,22 +233,22 @@ def yoy_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tier(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tier(spark: SparkSession, sf_dir: str, **sizing) -> DataFrame:
     star = star_tables(spark, sf_dir)
     strength = star.fact_team_game.groupBy("team_id", "season_id").agg(
         win_rate(F.col("wl")).alias("season_w_pct")
     )
     return with_tier(
-        strength, 3, ["season_id"], "season_w_pct", "team_id", "tier", star.dim_team.count()
+        strength, 3, ["season_id"], "season_w_pct", "team_id", "tier", star.dim_team.count(), **sizing
     )
 
 
-def rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rank(spark: SparkSession, sf_dir: str, **sizing) -> DataFrame:
     star = star_tables(spark, sf_dir)
     wins = star.fact_team_game.groupBy("team_id").agg(
         F.sum(won(F.col("wl"))).cast("long").alias("wins")
     )
-    return with_ranks(wins, {"win_rank": "wins"}, star.dim_team.count())
+    return with_ranks(wins, {"win_rank": "wins"}, star.dim_team.count(), **sizing)
 
 
 def rolling_points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -287,27 +290,44 @@ def count_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_counts({f.name: getattr(group, f.name) for group in tables for f in fields(group)})
 
 
-def dq_star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every rule of the star schema with its number of violations, on the written tables."""
-    violations = star_violations(staging_tables(spark, sf_dir), star_tables(spark, sf_dir))
-    return row_counts(violations).select(
-        F.col("table_name").alias("rule"), F.col("rows").alias("violations")
+def _faulty(star: Star) -> Star:
+    """The star with faults of every kind added, so that each rule has something to find."""
+    team, season, game, facts, stats = (getattr(star, field.name) for field in fields(Star))
+    day = F.col("day_of_week")
+    reform = F.col("era") == "Schedule Reform"
+    return Star(
+        dim_team=team.filter("abbreviation <> 'DEN'").union(team.filter("conference = 'East'")),
+        dim_season=season.filter("not is_lockout")
+        .withColumn("era", F.when(~reform, F.col("era")))
+        .union(season.filter("is_covid")),
+        dim_game=game.filter(day != "Monday")
+        .withColumn("game_date", F.when(day != "Tuesday", F.col("game_date")))
+        .union(game.filter(day == "Sunday")),
+        fact_team_game=facts.union(facts.filter("rest_days >= 4"))
+        .union(facts.filter("pts >= 130").withColumn("team_id", -F.col("team_id"))),
+        fact_team_season=stats.union(stats.filter("location = 'Home' AND w > l")),
     )
 
 
+def dq_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule of the star schema with its number of violations, on a star with added faults."""
+    found = star_violations(_faulty(star_tables(spark, sf_dir)))
+    return reduce(DataFrame.unionByName, found).drop("example")
+
+
 def export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = "q4_back_to_back"
     analysis = ANALYSES[name]
     result = analysis.run(star_tables(spark, sf_dir))
-    return spark.read.parquet(export(result, scratch_path(spark, "export"), analysis.theme, name))
+    written = export(result, scratch_path(spark, "export"), analysis.theme, name)
+    return spark.read.schema(result.schema).parquet(written.uri)
 
 
 def export_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Export all ten analyses, then count the rows of each written result."""
-    uris = export_all(star_tables(spark, sf_dir), scratch_path(spark, "exports"))
-    counts = row_counts({name: spark.read.parquet(uri) for name, uri in uris.items()})
-    theme = F.element_at(F.create_map(*[F.lit(x) for n in uris for x in (n, ANALYSES[n].theme)]), F.col("name"))
-    return counts.withColumnRenamed("table_name", "name").select("name", theme.alias("theme"), "rows")
+    """Export all ten analyses; each with the rows that its write counted."""
+    exported = export_all(star_tables(spark, sf_dir), scratch_path(spark, "exports"))
+    rows = [(name, ANALYSES[name].theme, result.rows) for name, result in exported.items()]
+    return spark.createDataFrame(rows, "name string, theme string, rows long")
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -341,6 +361,8 @@ def queries() -> dict[str, Query]:
         # The same with groups of more than a few rows cut into chunks, as hot groups are.
         "days_since_previous_events_hot": lambda s, d: days_since_previous_events(s, d, rows_per_task=40),
         "rolling_mean_events_hot": lambda s, d: rolling_mean_events(s, d, rows_per_task=40),
+        "tier_spread": lambda s, d: tier(s, d, rows_per_task=8),
+        "rank_spread": lambda s, d: rank(s, d, rows_per_task=8),
         **{name: _analysis(name) for name in ANALYSES},
         "dq_primary_key": lambda s, d: primary_key_violations(
             _table(s, d, "lineitem"), ["l_orderkey", "l_linenumber"]

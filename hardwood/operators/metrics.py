@@ -41,9 +41,13 @@ def parts(name: str, value: Column, condition: Column | None = None) -> list[Col
     return [F.sum(chosen).alias(f"{name}_sum"), F.count(chosen).alias(f"{name}_n")]
 
 
-def mean_of_parts(name: str) -> Column:
-    """The average over all rows behind the :func:`parts` columns being aggregated."""
-    return F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_n"))
+def mean_of_parts(name: str, condition: Column | None = None) -> Column:
+    """The average over the rows behind the :func:`parts` columns that meet ``condition`` (or all)."""
+    total, rows = (
+        F.sum(F.col(part) if condition is None else F.when(condition, F.col(part)))
+        for part in (f"{name}_sum", f"{name}_n")
+    )
+    return F.try_divide(total, rows)
 
 
 def change_from_previous(value: Column, order: str) -> Column:

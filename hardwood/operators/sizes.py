@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from hardwood.sinks.scratch import keep
 
 # Most rows of narrow tables that one task sorts, or that one executor holds as a broadcast.
-ONE_TASK_ROWS = 5_000_000
+ONE_TASK_ROWS = 1_000_000
 BROADCAST_ROWS = 500_000
 
 

@@ -2,7 +2,9 @@
 
 They share one shape: reduce the fact table on its own keys first, and join dimensions to the
 small result. Facts are therefore never shuffled on a season or a team, whose rows may be very
-unevenly spread, and no dimension has to be broadcast to the fact scan.
+unevenly spread, and no dimension has to be broadcast to the fact scan. Most start from the
+:func:`side_totals`, which a run of all analyses computes once; a single analysis reads only the
+columns it needs of them.
 """
 
 from __future__ import annotations
@@ -16,7 +18,6 @@ from pyspark.sql import functions as F
 from hardwood.functions.compat import round_half_away
 from hardwood.operators.metrics import (
     change_from_previous,
-    cond_avg,
     gap,
     mean_of_parts,
     parts,
@@ -45,6 +46,21 @@ def _win() -> Column:
     return won(F.col("wl"))
 
 
+def side_totals(star: Star) -> DataFrame:
+    """Sums and counts of the facts by team, season and location."""
+    return star.fact_team_game.groupBy("team_id", "season_id", "is_home").agg(
+        F.count(F.lit(1)).alias("games"),
+        *parts("win", _win()),
+        *parts("margin", F.col("plus_minus")),
+        *[part for name in ("fg_pct", "fg3_pct", "fta", "tov") for part in parts(name, F.col(name))],
+    )
+
+
+def _home_gap(name: str) -> Column:
+    """The average at home minus that on the road, over :func:`side_totals` being aggregated."""
+    return mean_of_parts(name, _at_home()) - mean_of_parts(name, _on_road())
+
+
 def _report(df: DataFrame, *order: str) -> DataFrame:
     """A sorted result of one file. For results with a fixed bound, such as a row per season."""
     return df.repartition(1).orderBy(*ascending(order))
@@ -85,17 +101,19 @@ def hca_trend(star: Star) -> DataFrame:
     )
 
 
-def covid_bubble(star: Star) -> DataFrame:
+def covid_bubble(star: Star, totals: DataFrame) -> DataFrame:
     """Results by era, bubble play and location.
 
-    Every fact row has its game (a checked foreign key), so only the few bubble games have to
-    meet the fact table: rows without one are outside the bubble.
+    Bubble games lie in few seasons, and only facts of these seasons have to meet them (every
+    fact has its game and that game's season, both checked). The rest comes from the totals.
     """
-    bubble_games = broadcast_if_small(
-        star.dim_game.filter("is_bubble").select("game_id", F.lit(True).alias("in_bubble"))
-    )
-    by_season = (
-        star.fact_team_game.join(bubble_games, "game_id", "left")
+    bubble = star.dim_game.filter("is_bubble").select("game_id", "season_id")
+    seasons = [row.season_id for row in bubble.select("season_id").distinct().collect()]
+    in_seasons = F.col("season_id").isin(seasons)
+    bubble_games = broadcast_if_small(bubble.select("game_id", F.lit(True).alias("in_bubble")))
+    met = (
+        star.fact_team_game.filter(in_seasons)
+        .join(bubble_games, "game_id", "left")
         .withColumn("is_bubble", F.coalesce("in_bubble", F.lit(False)))
         .groupBy("season_id", "is_bubble", "is_home")
         .agg(
@@ -104,6 +122,13 @@ def covid_bubble(star: Star) -> DataFrame:
             F.count(F.lit(1)).alias("games"),
         )
     )
+    rest = totals.filter(~F.coalesce(in_seasons, F.lit(False))).withColumn("is_bubble", F.lit(False))
+    measures = ("win_sum", "win_n", "margin_sum", "margin_n", "games")
+    by_season = (
+        met.unionByName(rest.select(met.columns))
+        .groupBy("season_id", "is_bubble", "is_home")
+        .agg(*[F.sum(measure).alias(measure) for measure in measures])
+    )
     keys = ["era", "is_bubble", "is_home"]
     result = (
         by_season.join(star.dim_season, "season_id")
@@ -135,11 +160,10 @@ def back_to_back(star: Star) -> DataFrame:
     return _report(result, "rest_bucket", "is_home")
 
 
-def shooting_boost(star: Star) -> DataFrame:
+def shooting_boost(star: Star, totals: DataFrame) -> DataFrame:
     """How much better each team shoots at home, ranked by three-point shooting."""
-    boosts = star.fact_team_game.groupBy("team_id").agg(
-        gap(F.col("fg_pct"), _at_home(), _on_road()).alias("fg_boost"),
-        gap(F.col("fg3_pct"), _at_home(), _on_road()).alias("fg3_boost"),
+    boosts = totals.groupBy("team_id").agg(
+        _home_gap("fg_pct").alias("fg_boost"), _home_gap("fg3_pct").alias("fg3_boost")
     )
     teams = star.dim_team.select("team_id", "full_name", "conference")
     ranked = with_ranks(
@@ -189,11 +213,11 @@ def rolling_home_win_pct(star: Star) -> DataFrame:
     )
 
 
-def referee_bias(star: Star) -> DataFrame:
+def referee_bias(star: Star, totals: DataFrame) -> DataFrame:
     """Free-throw attempts at home and on the road by season, and how the gap changes."""
-    attempts = star.fact_team_game.groupBy("season_id").agg(
-        cond_avg(F.col("fta"), _at_home()).alias("home"),
-        cond_avg(F.col("fta"), _on_road()).alias("road"),
+    attempts = totals.groupBy("season_id").agg(
+        mean_of_parts("fta", _at_home()).alias("home"),
+        mean_of_parts("fta", _on_road()).alias("road"),
     )
     difference = F.col("home") - F.col("road")
     change = change_from_previous(difference, "season_start_year")
@@ -212,15 +236,12 @@ def referee_bias(star: Star) -> DataFrame:
     )
 
 
-def conference_hca(star: Star) -> DataFrame:
+def conference_hca(star: Star, totals: DataFrame) -> DataFrame:
     """The home-road gap in win percentage by season and conference."""
-    by_team = star.fact_team_game.groupBy("season_id", "team_id").agg(
-        *parts("home", _win(), _at_home()), *parts("road", _win(), _on_road())
-    )
     by_conference = (
-        by_team.join(star.dim_team.select("team_id", "conference"), "team_id")
+        totals.join(star.dim_team.select("team_id", "conference"), "team_id")
         .groupBy("season_id", "conference")
-        .agg((mean_of_parts("home") - mean_of_parts("road")).alias("gap"))
+        .agg(_home_gap("win").alias("gap"))
     )
     result = by_conference.join(star.dim_season, "season_id").select(
         "season_start_year",
@@ -231,14 +252,12 @@ def conference_hca(star: Star) -> DataFrame:
     return _report(result, "season_start_year", "conference")
 
 
-def opponent_strength(star: Star) -> DataFrame:
+def opponent_strength(star: Star, totals: DataFrame) -> DataFrame:
     """Home teams' results by the opponent's third of the league that season.
 
     Home games are reduced to one row per opponent and season before they meet the tiers.
     """
-    strength = star.fact_team_game.groupBy("team_id", "season_id").agg(
-        win_rate(F.col("wl")).alias("season_w_pct")
-    )
+    strength = totals.groupBy("team_id", "season_id").agg(mean_of_parts("win").alias("season_w_pct"))
     tiers = with_tier(
         strength,
         3,
@@ -269,11 +288,11 @@ def opponent_strength(star: Star) -> DataFrame:
     )
 
 
-def turnover_comfort(star: Star) -> DataFrame:
+def turnover_comfort(star: Star, totals: DataFrame) -> DataFrame:
     """Fewer turnovers and more wins at home by team, each with its own rank."""
-    by_team = star.fact_team_game.groupBy("team_id").agg(
-        gap(F.col("tov"), _on_road(), _at_home()).alias("tov_gap"),
-        gap(_win(), _at_home(), _on_road()).alias("win_gap"),
+    by_team = totals.groupBy("team_id").agg(
+        (mean_of_parts("tov", _on_road()) - mean_of_parts("tov", _at_home())).alias("tov_gap"),
+        _home_gap("win").alias("win_gap"),
     )
     teams = star.dim_team.select("team_id", "full_name", "conference")
     ranked = with_ranks(
@@ -294,18 +313,25 @@ def turnover_comfort(star: Star) -> DataFrame:
 @dataclass(frozen=True)
 class Analysis:
     theme: str
-    run: Callable[[Star], DataFrame]
+    plan: Callable[..., DataFrame]
+    from_totals: bool = False
+
+    def run(self, star: Star, totals: DataFrame | None = None) -> DataFrame:
+        """The result; ``totals`` are the :func:`side_totals` of ``star`` if already at hand."""
+        if not self.from_totals:
+            return self.plan(star)
+        return self.plan(star, side_totals(star) if totals is None else totals)
 
 
 ANALYSES = {
     "q1_baseline_win_pct": Analysis("baseline", baseline_win_pct),
     "q2_hca_trend": Analysis("trend", hca_trend),
-    "q3_covid_bubble": Analysis("natural_experiments", covid_bubble),
+    "q3_covid_bubble": Analysis("natural_experiments", covid_bubble, from_totals=True),
     "q4_back_to_back": Analysis("scheduling", back_to_back),
-    "q5_shooting_boost": Analysis("performance", shooting_boost),
+    "q5_shooting_boost": Analysis("performance", shooting_boost, from_totals=True),
     "q6_rolling_home_win_pct": Analysis("performance", rolling_home_win_pct),
-    "q7_referee_bias": Analysis("scheduling", referee_bias),
-    "q8_conference_hca": Analysis("context", conference_hca),
-    "q9_opponent_strength": Analysis("context", opponent_strength),
-    "q10_turnover_comfort": Analysis("performance", turnover_comfort),
+    "q7_referee_bias": Analysis("scheduling", referee_bias, from_totals=True),
+    "q8_conference_hca": Analysis("context", conference_hca, from_totals=True),
+    "q9_opponent_strength": Analysis("context", opponent_strength, from_totals=True),
+    "q10_turnover_comfort": Analysis("performance", turnover_comfort, from_totals=True),
 }

@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, fields
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hardwood.functions import season
 from hardwood.functions.compat import weekday_name
-from hardwood.operators.opponents import crowded_events, with_opponent
-from hardwood.operators.quality import (
-    foreign_key_violations,
-    not_null_violations,
-    primary_key_violations,
-)
+from hardwood.operators.opponents import with_opponent
 from hardwood.operators.windows import days_since_previous
 from hardwood.sources import schemas
 from hardwood.sources.schemas import conform
@@ -147,51 +144,124 @@ def build_star(staging: Staging) -> Star:
     )
 
 
-def star_violations(staging: Staging, star: Star) -> dict[str, DataFrame]:
-    """Every declared key and required value of the star schema, as violation tables by name.
+def _any_null(columns: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(column).isNull() for column in columns])
 
-    The checks read few columns, so Catalyst prunes the windows and joins they do not need, and
-    they can run on the unwritten tables.
+
+def _shown(*columns: str) -> Column:
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+
+
+def _tally(df: DataFrame, rules: Mapping[str, tuple[Column, Column]]) -> DataFrame:
+    """Per rule ``name: (broken, example)`` the rows that break it and one example.
+
+    All rules are counted by one aggregate over ``df``.
     """
-    game, team_season = star.fact_team_game, star.fact_team_season
-    return {
-        "dim_team key": primary_key_violations(star.dim_team, ["team_id"]),
-        "dim_season key": primary_key_violations(star.dim_season, ["season_id"]),
-        "dim_season required": not_null_violations(
-            star.dim_season,
-            ["season_start_year", "era", "games_in_season", "is_lockout", "is_covid"],
-        ),
-        "dim_game key": primary_key_violations(star.dim_game, ["game_id"]),
-        "dim_game required": not_null_violations(star.dim_game, ["game_date", "season_id"]),
-        "fact_team_game key": primary_key_violations(game, ["game_id", "team_id"]),
-        "fact_team_game sides": crowded_events(staging.game_log, "game_id"),
-        "fact_team_game game": foreign_key_violations(game, "game_id", star.dim_game, "game_id"),
-        "fact_team_game team": foreign_key_violations(game, "team_id", star.dim_team, "team_id"),
-        "fact_team_game opponent": foreign_key_violations(
-            game, "opponent_team_id", star.dim_team, "team_id"
-        ),
-        "fact_team_game season": foreign_key_violations(
-            game, "season_id", star.dim_season, "season_id"
-        ),
-        "fact_team_season key": primary_key_violations(
-            team_season, ["team_id", "season_id", "location"]
-        ),
-        "fact_team_season team": foreign_key_violations(
-            team_season, "team_id", star.dim_team, "team_id"
-        ),
-        "fact_team_season season": foreign_key_violations(
-            team_season, "season_id", star.dim_season, "season_id"
-        ),
-    }
+    found = [
+        F.struct(
+            F.lit(rule).alias("rule"),
+            F.count_if(broken).alias("violations"),
+            F.min(F.when(broken, example)).alias("example"),
+        )
+        for rule, (broken, example) in rules.items()
+    ]
+    return df.agg(F.array(*found).alias("found")).select(F.inline("found"))
+
+
+def _key_rules(table: str, df: DataFrame, keys: Sequence[str], required: Sequence[str] = ()) -> DataFrame:
+    """Key values that are NULL or repeated, and those with a NULL in a ``required`` column."""
+    rules = {f"{table} key": ((F.col("_rows") > 1) | _any_null(keys), _shown(*keys))}
+    counts = [F.count(F.lit(1)).alias("_rows")]
+    if required:
+        incomplete = F.when(_any_null(required), _shown(*keys, *required))
+        counts.append(F.min(incomplete).alias("_incomplete"))
+        rules[f"{table} required"] = (F.col("_incomplete").isNotNull(), F.col("_incomplete"))
+    return _tally(df.groupBy(*keys).agg(*counts), rules)
+
+
+def _game_rules(star: Star) -> DataFrame:
+    """The rules that are about one game, from one row per game of the facts and of the games.
+
+    Both are reduced on the game before they meet, so the join needs no further shuffle.
+    """
+    sides = star.fact_team_game.groupBy("game_id", "team_id").agg(F.count(F.lit(1)).alias("copies"))
+    facts = sides.groupBy("game_id").agg(
+        F.sum("copies").alias("sides"),
+        F.count_if((F.col("copies") > 1) | _any_null(["game_id", "team_id"])).alias("repeated"),
+    )
+    games = star.dim_game.groupBy(F.col("game_id").alias("known_id")).agg(
+        F.count(F.lit(1)).alias("games"),
+        F.count_if(_any_null(["game_date", "season_id"])).alias("incomplete"),
+    )
+    game, known = F.col("game_id"), F.col("known_id")
+    return _tally(
+        facts.join(games, game == known, "full"),
+        {
+            "dim_game key": ((F.col("games") > 1) | (F.col("games").isNotNull() & known.isNull()), _shown("known_id")),
+            "dim_game required": (F.col("incomplete") > 0, _shown("known_id")),
+            "fact_team_game key": (F.col("repeated") > 0, _shown("game_id")),
+            "fact_team_game sides": (F.col("sides") > 2, _shown("game_id", "sides")),
+            "fact_team_game game": (game.isNotNull() & known.isNull(), _shown("game_id")),
+        },
+    )
+
+
+def _reference_rules(star: Star) -> DataFrame:
+    """Teams and seasons that facts name and dimensions lack; NULL is allowed.
+
+    One pass over each fact table. Values are made distinct before they meet the dimensions, so
+    a hot team or season is one row by then.
+    """
+
+    def named(table: str, df: DataFrame, references: Mapping[str, tuple[str, str]]) -> DataFrame:
+        values = [
+            F.struct(
+                F.lit(f"{table} {name}").alias("rule"),
+                F.lit(dimension).alias("dimension"),
+                F.col(column).cast("string").alias("value"),
+            )
+            for name, (column, dimension) in references.items()
+        ]
+        return df.select(F.inline(F.array(*values)))
+
+    both = {"team": ("team_id", "dim_team"), "season": ("season_id", "dim_season")}
+    opponent = {"opponent": ("opponent_team_id", "dim_team")}
+    uses = named("fact_team_game", star.fact_team_game, {**both, **opponent}).union(
+        named("fact_team_season", star.fact_team_season, both)
+    )
+    known = star.dim_team.select(
+        F.lit("dim_team").alias("dimension"), F.col("team_id").cast("string").alias("value")
+    ).union(star.dim_season.select(F.lit("dim_season"), "season_id"))
+    unknown = uses.filter(F.col("value").isNotNull()).distinct().join(known, ["dimension", "value"], "left_anti")
+    rules = [*(f"fact_team_game {name}" for name in (*both, *opponent)), *(f"fact_team_season {name}" for name in both)]
+    return _tally(unknown, {rule: (F.col("rule") == rule, F.col("value")) for rule in rules})
+
+
+def star_violations(star: Star) -> list[DataFrame]:
+    """Every declared key, reference and required value of the star schema, as (rule, violations, example).
+
+    The unit of a violation is the key value, game, team or season concerned. Each table is read
+    once or twice, in few columns.
+    """
+    required = ["season_start_year", "era", "games_in_season", "is_lockout", "is_covid"]
+    return [
+        _key_rules("dim_team", star.dim_team, ["team_id"]),
+        _key_rules("dim_season", star.dim_season, ["season_id"], required),
+        _game_rules(star),
+        _key_rules("fact_team_season", star.fact_team_season, ["team_id", "season_id", "location"]),
+        _reference_rules(star),
+    ]
 
 
 class ConstraintViolation(ValueError):
     """A star table breaks a declared key or holds NULL in a required column."""
 
 
-def require_valid(staging: Staging, star: Star) -> None:
-    """Raise on the first broken rule, naming it and showing a few of its violations."""
-    for rule, violations in star_violations(staging, star).items():
-        examples = violations.take(5)
-        if examples:
-            raise ConstraintViolation(f"{rule}: {[row.asDict() for row in examples]}")
+def require_valid(star: Star) -> None:
+    """Raise on broken rules, naming each with its number of violations and an example."""
+    for found in star_violations(star):
+        broken = found.filter(F.col("violations") > 0).collect()  # a row per rule at most
+        if broken:
+            raise ConstraintViolation(
+                "; ".join(f"{row.rule}: {row.violations}, such as {row.example}" for row in broken)
+            )

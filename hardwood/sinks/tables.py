@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import fields
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -79,12 +80,26 @@ def read_star(spark: SparkSession, base: str) -> Star:
     )
 
 
-def export(df: DataFrame, base: str, theme: str, name: str) -> str:
-    """Write one result under ``base/theme/name`` and return that URI.
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Put the folder ``source`` in the place of ``target``, in the store's own way of renaming."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    old, new = hadoop.Path(target), hadoop.Path(source)
+    system = new.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.delete(old, True)
+    if not system.rename(new, old):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
+class Exported(NamedTuple):
+    uri: str
+    rows: int
+
+
+def export(df: DataFrame, base: str, theme: str, name: str) -> Exported:
+    """Write one result under ``base/theme/name``; returns that URI and the rows written.
 
     ``base`` is any location Spark can write to, such as an object-store URI. Executors write
     the files themselves.
     """
     uri = f"{base.rstrip('/')}/{theme}/{name}"
-    df.write.mode("overwrite").parquet(uri)
-    return uri
+    return Exported(uri, write_table(df, uri))

@@ -124,26 +124,48 @@ _OVER_STAR = {
         ]
     ),
     "dq_star": """
-        SELECT rule, violations FROM (VALUES
-          ('dim_team key', (SELECT count(*) - count(DISTINCT team_id) FROM dim_team)),
-          ('dim_season key', (SELECT count(*) - count(DISTINCT season_id) FROM dim_season)),
-          ('dim_season required', (SELECT count(*) FROM dim_season WHERE era IS NULL)),
-          ('dim_game key', (SELECT count(*) - count(DISTINCT game_id) FROM dim_game)),
-          ('dim_game required', (SELECT count(*) FROM dim_game WHERE game_date IS NULL)),
-          ('fact_team_game key', (SELECT count(*) - count(DISTINCT (game_id, team_id)) FROM results)),
-          ('fact_team_game sides', (SELECT count(*) FROM (
-               SELECT game_id FROM log GROUP BY game_id HAVING count(*) > 2))),
-          ('fact_team_game game', (SELECT count(*) FROM results ANTI JOIN dim_game USING (game_id))),
-          ('fact_team_game team', (SELECT count(*) FROM results ANTI JOIN dim_team USING (team_id))),
-          ('fact_team_game opponent', (SELECT count(*) FROM results
-               WHERE opponent_team_id NOT IN (SELECT team_id FROM dim_team))),
-          ('fact_team_game season', (SELECT count(*) FROM results ANTI JOIN dim_season USING (season_id))),
-          ('fact_team_season key', (SELECT count(*) - count(DISTINCT (team_id, season_id, location))
-               FROM fact_team_season)),
-          ('fact_team_season team', (SELECT count(*) FROM fact_team_season ANTI JOIN dim_team USING (team_id))),
-          ('fact_team_season season', (SELECT count(*) FROM fact_team_season
-               ANTI JOIN dim_season USING (season_id)))
-        ) AS checks(rule, violations)""",
+        SELECT rule, violations FROM (
+          WITH teams AS (
+            SELECT * FROM dim_team WHERE abbreviation <> 'DEN'
+            UNION ALL SELECT * FROM dim_team WHERE conference = 'East'),
+          seasons AS (
+            SELECT season_id, nullif(era, 'Schedule Reform') AS era FROM dim_season WHERE NOT is_lockout
+            UNION ALL SELECT season_id, era FROM dim_season WHERE is_covid),
+          games AS (
+            SELECT game_id, if(day_of_week = 'Tuesday', NULL, game_date) AS game_date FROM dim_game
+            WHERE day_of_week <> 'Monday'
+            UNION ALL SELECT game_id, game_date FROM dim_game WHERE day_of_week = 'Sunday'),
+          facts AS (
+            SELECT game_id, team_id, opponent_team_id, season_id FROM results
+            UNION ALL SELECT game_id, team_id, opponent_team_id, season_id FROM results WHERE rest_days >= 4
+            UNION ALL SELECT game_id, -team_id, opponent_team_id, season_id FROM results WHERE pts >= 130),
+          stats AS (
+            SELECT team_id, season_id, location FROM fact_team_season
+            UNION ALL SELECT team_id, season_id, location FROM fact_team_season
+            WHERE location = 'Home' AND w > l)
+          SELECT * FROM (VALUES
+            ('dim_team key', (SELECT count(*) FROM (SELECT team_id FROM teams GROUP BY ALL HAVING count(*) > 1))),
+            ('dim_season key', (SELECT count(*) FROM (
+                 SELECT season_id FROM seasons GROUP BY ALL HAVING count(*) > 1))),
+            ('dim_season required', (SELECT count(DISTINCT season_id) FROM seasons WHERE era IS NULL)),
+            ('dim_game key', (SELECT count(*) FROM (SELECT game_id FROM games GROUP BY ALL HAVING count(*) > 1))),
+            ('dim_game required', (SELECT count(DISTINCT game_id) FROM games WHERE game_date IS NULL)),
+            ('fact_team_game key', (SELECT count(DISTINCT game_id) FROM (
+                 SELECT game_id, team_id FROM facts GROUP BY ALL HAVING count(*) > 1))),
+            ('fact_team_game sides', (SELECT count(*) FROM (
+                 SELECT game_id FROM facts GROUP BY ALL HAVING count(*) > 2))),
+            ('fact_team_game game', (SELECT count(DISTINCT game_id) FROM facts ANTI JOIN games USING (game_id))),
+            ('fact_team_game team', (SELECT count(DISTINCT team_id) FROM facts ANTI JOIN teams USING (team_id))),
+            ('fact_team_game opponent', (SELECT count(DISTINCT opponent_team_id) FROM facts
+                 WHERE opponent_team_id NOT IN (SELECT team_id FROM teams))),
+            ('fact_team_game season', (SELECT count(DISTINCT season_id) FROM facts
+                 ANTI JOIN seasons USING (season_id))),
+            ('fact_team_season key', (SELECT count(*) FROM (
+                 SELECT team_id, season_id, location FROM stats GROUP BY ALL HAVING count(*) > 1))),
+            ('fact_team_season team', (SELECT count(DISTINCT team_id) FROM stats ANTI JOIN teams USING (team_id))),
+            ('fact_team_season season', (SELECT count(DISTINCT season_id) FROM stats
+                 ANTI JOIN seasons USING (season_id)))
+          ) AS checks(rule, violations))""",
     "export_roundtrip": _ANALYSES["q4_back_to_back"],
     "export_catalog": " UNION ALL ".join(
         f"SELECT '{name}' AS name, '{_THEMES[name]}' AS theme, count(*) AS rows FROM ({query})"
@@ -194,5 +216,6 @@ def expected() -> dict[str, str]:
         **{key: over_star(query) for key, query in _OVER_STAR.items()},
         **{key: over_staging(query) for key, query in _OVER_STAGING.items()},
         **_OVER_TABLES,
+        **{f"{key}_spread": over_star(_OVER_STAR[key]) for key in ("tier", "rank")},
         **{f"{key}_hot": _OVER_TABLES[key] for key in ("days_since_previous_events", "rolling_mean_events")},
     }

@@ -9,13 +9,18 @@ import pytest
 
 import __spark_entry__ as contract
 from hardwood.operators.sizes import broadcast_if_small
+from hardwood.plans.analyses import ANALYSES, side_totals
 from oracle.queries_sql import expected
 
 # The text queries read whole texts in Python tasks, by design.
 QUERIES = {key: contract.queries()[key] for key in expected()}
 
 
+_FACTS = "/fact_team_game]"
+
+
 def plan_of(df) -> str:
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "1000")  # whole paths
     return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
 
 
@@ -83,9 +88,32 @@ def test_facts_are_reduced_before_dimensions_join(spark, sf_dir, number):
         assert "HashAggregate" in first
 
 
-def test_checks_on_keys_prune_the_windows(spark, sf_dir):
-    star = contract.star_plans.build_star(contract.staging_tables(spark, sf_dir))
-    checks = contract.star_violations(contract.staging_tables(spark, sf_dir), star)
-    plan = plan_of(checks["fact_team_game key"])
-    assert "Window" not in plan and "Join" not in plan
-    assert "ReadSchema: struct<team_id:int,game_id:string>" in plan
+def test_checks_read_written_facts_twice_and_few_columns(spark, sf_dir):
+    star = contract.star_tables(spark, sf_dir)
+    with large_tables(spark):
+        plans = [plan_of(found) for found in contract.star_violations(star)]
+    scans = [scan for plan in plans for scan in re.findall(r"FileScan.*", plan)]
+    facts = [scan for scan in scans if _FACTS in scan]
+    assert [re.search(r"ReadSchema: struct<(.*)>", scan).group(1) for scan in facts] == [
+        "game_id:string,team_id:int",
+        "team_id:int,opponent_team_id:int,season_id:string",
+    ]
+    assert len(scans) == 9 and "Window" not in "".join(plans)
+    games = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plans[2])
+    assert [re.sub(r"#\d+", "", keys) for keys in games] == ["game_id", "game_id, team_id", "known_id"]
+
+
+def test_bubble_query_reads_game_ids_of_bubble_seasons_only(spark, sf_dir):
+    plan = plan_of(QUERIES["q3_covid_bubble"](spark, sf_dir))
+    scans = [scan for scan in re.findall(r"FileScan.*", plan) if _FACTS in scan]
+    met = [scan for scan in scans if "game_id:string" in scan]
+    assert len(scans) == 2 and len(met) == 1 and re.search(r"season_id.*2019-20", met[0])
+
+
+def test_catalog_reduces_the_facts_once(spark, sf_dir):
+    star = contract.star_tables(spark, sf_dir)
+    totals = contract.keep(side_totals(star), "totals")
+    for name in ("q5_shooting_boost", "q7_referee_bias", "q8_conference_hca", "q10_turnover_comfort"):
+        assert _FACTS not in plan_of(ANALYSES[name].run(star, totals))
+    plan = plan_of(ANALYSES["q9_opponent_strength"].run(star, totals))
+    assert plan.count(_FACTS) == 1

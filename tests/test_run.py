@@ -107,8 +107,8 @@ def test_full_run_can_be_repeated(spark, tmp_path):
     land(landing)
     uris = plans.run(spark, str(landing), out)
     assert list(uris) == list(ANALYSES)
-    assert uris["q2_hca_trend"] == f"{out}/exports/trend/q2_hca_trend"
-    assert spark.read.parquet(uris["q2_hca_trend"]).count() == 2
+    assert uris["q2_hca_trend"] == (f"{out}/exports/trend/q2_hca_trend", 2)
+    assert spark.read.parquet(uris["q2_hca_trend"].uri).count() == 2
     assert plans.run(spark, str(landing), out) == uris
     star = read_star(spark, f"{out}/star")
     assert {name: getattr(star, name).count() for name in STAR_SCHEMAS} == {
@@ -154,9 +154,9 @@ def test_export_replaces_and_names_its_place(spark, tmp_path):
     df = spark.range(5)
     assert write_table(df, str(tmp_path / "t")) == 5
     uri = export(df, f"{tmp_path}/", "theme", "name")
-    assert uri == f"{tmp_path}/theme/name"
-    assert export(spark.range(3), str(tmp_path), "theme", "name") == uri
-    assert spark.read.parquet(uri).count() == 3
+    assert uri == (f"{tmp_path}/theme/name", 5)
+    assert export(spark.range(3), str(tmp_path), "theme", "name") == (uri.uri, 3)
+    assert spark.read.parquet(uri.uri).count() == 3
 
 
 def test_scratch_folder_is_the_one_the_session_names(spark):

@@ -169,34 +169,34 @@ def test_fact_team_season_is_an_inner_join(staging):
 
 
 def test_valid_star_passes(staging):
-    require_valid(staging, build_star(staging))
+    require_valid(build_star(staging))
 
 
 def broken(staging, **changes):
     changed = Staging(**{**staging.__dict__, **changes})
-    return changed, build_star(changed)
+    return build_star(changed)
 
 
 def test_third_team_in_a_game_is_refused(spark, staging):
     extra = log_of(spark, team_game("0029900001", 3, 1, "1999-11-02", 5, home=False))
     with pytest.raises(ConstraintViolation, match="sides"):
-        require_valid(*broken(staging, game_log=staging.game_log.union(extra)))
+        require_valid(broken(staging, game_log=staging.game_log.union(extra)))
 
 
 def test_repeated_row_is_refused(staging):
     with pytest.raises(ConstraintViolation, match="fact_team_game key"):
-        require_valid(*broken(staging, game_log=staging.game_log.union(staging.game_log.limit(1))))
+        require_valid(broken(staging, game_log=staging.game_log.union(staging.game_log.limit(1))))
 
 
 def test_season_without_era_is_refused(spark, staging):
     late = log_of(spark, team_game("x", 1, 2, "2025-11-02", 5, season="22025"))
     with pytest.raises(ConstraintViolation, match="dim_season required.*era"):
-        require_valid(*broken(staging, game_log=staging.game_log.union(late)))
+        require_valid(broken(staging, game_log=staging.game_log.union(late)))
 
 
 def test_unknown_team_is_refused(spark, staging):
     with pytest.raises(ConstraintViolation, match="fact_team_game team"):
-        require_valid(*broken(staging, teams=teams_of(spark, (2, "LAL"), (3, "NYK"))))
+        require_valid(broken(staging, teams=teams_of(spark, (2, "LAL"), (3, "NYK"))))
 
 
 def test_opponent_join_keeps_null_sides(spark):
