@@ -9,7 +9,7 @@ columns it needs of them.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -46,9 +46,9 @@ def _win() -> Column:
     return won(F.col("wl"))
 
 
-def side_totals(star: Star) -> DataFrame:
-    """Sums and counts of the facts by team, season and location."""
-    return star.fact_team_game.groupBy("team_id", "season_id", "is_home").agg(
+def side_totals(star: Star, by: Sequence[str] = ("team_id", "season_id")) -> DataFrame:
+    """Sums and counts of the facts by the columns ``by`` and location."""
+    return star.fact_team_game.groupBy(*by, "is_home").agg(
         F.count(F.lit(1)).alias("games"),
         *parts("win", _win()),
         *parts("margin", F.col("plus_minus")),
@@ -314,24 +314,27 @@ def turnover_comfort(star: Star, totals: DataFrame) -> DataFrame:
 class Analysis:
     theme: str
     plan: Callable[..., DataFrame]
-    from_totals: bool = False
+    totals_by: tuple[str, ...] = ()
 
     def run(self, star: Star, totals: DataFrame | None = None) -> DataFrame:
-        """The result; ``totals`` are the :func:`side_totals` of ``star`` if already at hand."""
-        if not self.from_totals:
+        """The result; ``totals`` are the :func:`side_totals` of ``star`` if already at hand.
+
+        An analysis run by itself reduces the facts to the keys it needs.
+        """
+        if not self.totals_by:
             return self.plan(star)
-        return self.plan(star, side_totals(star) if totals is None else totals)
+        return self.plan(star, side_totals(star, self.totals_by) if totals is None else totals)
 
 
 ANALYSES = {
     "q1_baseline_win_pct": Analysis("baseline", baseline_win_pct),
     "q2_hca_trend": Analysis("trend", hca_trend),
-    "q3_covid_bubble": Analysis("natural_experiments", covid_bubble, from_totals=True),
+    "q3_covid_bubble": Analysis("natural_experiments", covid_bubble, ("season_id",)),
     "q4_back_to_back": Analysis("scheduling", back_to_back),
-    "q5_shooting_boost": Analysis("performance", shooting_boost, from_totals=True),
+    "q5_shooting_boost": Analysis("performance", shooting_boost, ("team_id",)),
     "q6_rolling_home_win_pct": Analysis("performance", rolling_home_win_pct),
-    "q7_referee_bias": Analysis("scheduling", referee_bias, from_totals=True),
-    "q8_conference_hca": Analysis("context", conference_hca, from_totals=True),
-    "q9_opponent_strength": Analysis("context", opponent_strength, from_totals=True),
-    "q10_turnover_comfort": Analysis("performance", turnover_comfort, from_totals=True),
+    "q7_referee_bias": Analysis("scheduling", referee_bias, ("season_id",)),
+    "q8_conference_hca": Analysis("context", conference_hca, ("team_id", "season_id")),
+    "q9_opponent_strength": Analysis("context", opponent_strength, ("team_id", "season_id")),
+    "q10_turnover_comfort": Analysis("performance", turnover_comfort, ("team_id",)),
 }

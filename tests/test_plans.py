@@ -100,7 +100,7 @@ def test_checks_read_written_facts_twice_and_few_columns(spark, sf_dir):
     ]
     assert len(scans) == 9 and "Window" not in "".join(plans)
     games = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plans[2])
-    assert [re.sub(r"#\d+", "", keys) for keys in games] == ["game_id", "game_id, team_id", "known_id"]
+    assert [re.sub(r"#\d+", "", keys) for keys in games] == ["game_id", "game_id, team_id", "game_id"]
 
 
 def test_bubble_query_reads_game_ids_of_bubble_seasons_only(spark, sf_dir):
