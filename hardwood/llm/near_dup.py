@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hardwood.llm.common import WordHashes, id_filter, map_rows, row_count, shingle_set
-from hardwood.llm.components import smallest_reachable
+from hardwood.llm.components import join_counted, smallest_reachable
 from hardwood.sinks.scratch import keep
 
 ROWS_PER_BAND = 4
@@ -152,10 +152,8 @@ def _bucket_edges(
         for band in range(bands)
     ])
     members = keep(reps.select(F.col("doc_id").alias("rep"), F.explode(keys).alias("bucket")), "buckets")
-    crowded = members.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("members"), F.min("rep").alias("pivot")
-    ).filter("members > 1")
-    shared = members.join(crowded, "bucket").select("rep", "bucket", "members")
+    crowded = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    shared = join_counted(members, crowded, "bucket", "members", row_count(members))
     signed = reps.select(F.col("doc_id").alias("rep"), "signature")
     crowd = keep(shared.join(signed, "rep"), "crowded")
 
@@ -177,16 +175,19 @@ def _bucket_edges(
         if hot.isEmpty():
             return found
         # One pivot against all other members of its bucket; the sure ones need no more pivots.
-        pivot = hot.groupBy("bucket").agg(F.min(F.struct("rep", "signature")).alias("p"))
-        pivot = pivot.select("bucket", F.col("p.rep").alias("a"), F.col("p.signature").alias("to"))
-        met = hot.join(F.broadcast(pivot) if row_count(pivot) <= 10_000 else pivot, "bucket")
+        pivot = hot.groupBy("bucket").agg(
+            F.min(F.struct("rep", "signature")).alias("p"), F.count(F.lit(1)).alias("members")
+        )
+        pivot = pivot.select("bucket", F.col("p.rep").alias("a"), F.col("p.signature").alias("to"), "members")
+        met = join_counted(hot, pivot, "bucket", "members", row_count(hot)).drop("members")
         alike = keep(map_rows(met, lambda: lambda part: [_alike(part, "signature", "to")], "alike double"), "peeled")
         found = found.unionByName(alike.filter((F.col("alike") >= near) & (F.col("rep") != F.col("a")))
                                   .select("a", F.col("rep").alias("b")))
         hot = keep(alike.filter(F.col("alike") < sure).select("rep", "bucket", "signature"), "hot")
     counted = hot.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"))
-    counted = counted.select("bucket", F.ceil(2 * F.col("members") / bucket_rows).alias("n_blocks"))
-    dealt = _blocks(hot.join(counted, "bucket"), "bucket", "rep").dropDuplicates(["tile", "rep"])
+    counted = counted.withColumn("n_blocks", F.ceil(2 * F.col("members") / bucket_rows))
+    met = join_counted(hot, counted, "bucket", "members", row_count(hot)).drop("members")
+    dealt = _blocks(met, "bucket", "rep").dropDuplicates(["tile", "rep"])
     return found.unionByName(_by_tile(dealt.drop("n_blocks", "bucket"), edges, "a long, b long"))
 
 
@@ -242,9 +243,9 @@ def _verified(
     )
     cut = F.ceil(F.greatest(F.col("members") / block_rows, F.col("shingles") / block_shingles))
     # A family that fits one block is one tile; of another, every pair of blocks is one.
-    blocks = blocks.select("root", F.when(cut > 1, 2 * cut).otherwise(1).alias("n_blocks"))
-    dealt = _blocks(sized.join(blocks, "root").drop("n_shingles"), "root", "id")
-    dealt = dealt.dropDuplicates(["tile", "id"]).select("tile", "id")
+    blocks = blocks.select("root", "members", F.when(cut > 1, 2 * cut).otherwise(1).alias("n_blocks"))
+    met = join_counted(sized.drop("n_shingles"), blocks, "root", "members", row_count(sized))
+    dealt = _blocks(met, "root", "id").dropDuplicates(["tile", "id"]).select("tile", "id")
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     # Most documents are in no family: their texts need not be shuffled.
     texts = texts.filter(id_filter(sized.select("id"), row_count(sized))("id"))
