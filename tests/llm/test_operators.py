@@ -263,11 +263,19 @@ def test_license_scan():
     assert licenses.evaluate("(MIT OR GPL-3.0-only) AND BSD-3-Clause") == ({"mit", "gpl", "bsd"}, True)
     assert licenses.evaluate("GPL-2.0+ WITH Classpath-exception-2.0") == ({"gpl"}, False)
     assert licenses.evaluate("MIT AND") [1] is None
+    assert licenses.evaluate("MIT.") == ({"mit"}, True) and licenses.evaluate("is a tag") == (set(), None)
+    assert licenses.evaluate("MIT and the rest of the page") == ({"mit"}, None)
     assert licenses.scan("// SPDX-License-Identifier: Apache-2.0 OR MIT\nx", machine)[5] == "apache,mit"
     deep = "(" * 5000 + "MIT" + ")" * 5000
     assert licenses.evaluate(deep) == ({"mit"}, True)
 
 
+def test_license_scan_of_a_text_full_of_places():
+    """A million words of phrases and tags take seconds: the work grows with the text only."""
+    found = licenses.scan("MIT License x SPDX-License-Identifier: MIT\n" * 150_000, licenses.automaton())
+    assert found[:6] == (1_050_000, 150_000, 0, 1_050_000 - 7, "mit", "mit") and found[7] is True
+
+
 def test_license_places_match_brute_force(docs):
     got = {r.doc_id: r for r in licenses.scan_licenses(docs.select("doc_id", "text")).collect()}
     for r in docs.select("doc_id", "text").collect():
