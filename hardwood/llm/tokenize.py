@@ -1,8 +1,11 @@
 """Unigram tokens by Viterbi over a double-array trie of scored pieces, and back to text.
 
-A piece table (text, score and kind of every id) comes from a SentencePiece model file. White
-space becomes a marker, one marker is put before the text, and the segmentation with the greatest
-sum of piece scores is taken. A character that no piece covers costs less than any piece by
+A piece table (text, score and kind of every id) comes from a SentencePiece model file. The scores
+of a BPE model are merge ranks, no log probabilities, so ``fit`` estimates those from all texts:
+the distinct words are counted, segmented into as few pieces as possible, and the pieces' counts
+give log probabilities, which are estimated again from the best segmentations under themselves.
+White space becomes a marker, one marker is put before the text, and the segmentation with the
+greatest sum of piece scores is taken. A character that no piece covers costs less than any piece by
 ``UNKNOWN_PENALTY`` and becomes its UTF-8 bytes' pieces. Decoding joins pieces and bytes, turns
 markers to spaces and drops the first; it restores every text exactly, also one that holds the
 marker character itself, which is always encoded as bytes.
@@ -11,23 +14,32 @@ No piece holds a marker after another character, nor a line end (checked when th
 so the best path of a text is the best paths of its words, and each distinct word is solved once
 per task, many words together in numpy. Ties go to the longer last piece.
 
-Defined results: NULL and empty texts have no tokens and decode to an empty text. Texts of any
-length are encoded whole. Repeated rows are encoded alike.
+Defined results: NULL and empty texts have no tokens and decode to an empty text. Without any text
+all pieces score alike. Log probabilities are rounded to 2^-20, so that sums of them are exact.
+Texts of any length are encoded whole. Repeated rows are encoded alike.
 """
 
 from __future__ import annotations
 
+import copy
 import re
 import zlib
-from dataclasses import dataclass
+from collections import Counter
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from hardwood.llm.common import CACHE_WORDS, map_rows
+from hardwood.llm.common import CACHE_WORDS, fold_rows, map_rows
+from hardwood.sinks.scratch import keep
 
 UNKNOWN_PENALTY = 10.0
+#: Times that piece scores are estimated from segmentations; the first has the fewest pieces.
+ESTIMATES = 2
+#: Added to the count of every piece.
+SMOOTHING = 1.0
 _MARKER = 0xFF  # stands for the white-space marker; no UTF-8 text has this byte
 _CHUNK_BYTES = 1 << 18
 
@@ -135,27 +147,52 @@ class Tokenizer:
             if matched and (text not in words or pieces.scores[i] > pieces.scores[words[text]]):
                 words[text] = i
         self.trie = DoubleArray(words)
-        usable = pieces.scores[list(words.values())] if words else np.zeros(1)
-        self.unknown = float(usable.min()) - UNKNOWN_PENALTY
+        self.usable = list(words.values())
+        self.unknown = self._unknown()
         marker = bytes([_MARKER])
         crossing = any(b"\n" in w or marker in w.lstrip(marker) for w in words)
         self.splitter = re.compile(rb"(?s).+" if crossing else rb"\xff*[^\xff\n]+|\n|\xff+")
         self.decoded = [t.replace(marker, b" ") for t in pieces.texts]
         self.cache: dict[bytes, bytes] = {}
 
+    def _unknown(self) -> float:
+        return float(self.pieces.scores[self.usable].min() if self.usable else 0) - UNKNOWN_PENALTY
+
     def __getstate__(self):
-        return self.pieces, self.trie, self.unknown, self.splitter.pattern, self.decoded
+        return self.pieces, self.trie, self.usable, self.unknown, self.splitter.pattern, self.decoded
 
     def __setstate__(self, state):
-        self.pieces, self.trie, self.unknown, pattern, self.decoded = state
+        self.pieces, self.trie, self.usable, self.unknown, pattern, self.decoded = state
         self.splitter, self.cache = re.compile(pattern), {}
 
+    def estimated(self, counts: dict[int, int]) -> Tokenizer:
+        """The same pieces, scored by the logarithms of their smoothed shares in ``counts``."""
+        scores, own = np.zeros(len(self.pieces.texts)), np.array(self.usable, int)
+        n = np.array([counts.get(i, 0) for i in self.usable]) + SMOOTHING
+        scores[own] = np.round(np.log(n / n.sum()) * (1 << 20)) / (1 << 20)
+        other = copy.copy(self)
+        other.pieces = replace(self.pieces, scores=scores)
+        other.unknown = other._unknown()
+        return other
+
+    def words(self, text: str | None) -> list[bytes]:
+        marker = bytes([_MARKER])
+        return self.splitter.findall(marker + text.encode().replace(b" ", marker)) if text else []
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, as little-endian 32-bit integers."""
-        marker = bytes([_MARKER])
-        words = [
-            self.splitter.findall(marker + t.encode().replace(b" ", marker)) if t else [] for t in texts
-        ]
+        words = [self.words(t) for t in texts]
+        self._remember(words)
+        get = self.cache.__getitem__
+        return [b"".join(map(get, own)) for own in words]
+
+    def segment(self, words: list[bytes]) -> tuple[np.ndarray, list[int]]:
+        """The ids of all words, one after the other, and how many each has."""
+        self._remember([words])
+        solved = [self.cache[w] for w in words]
+        return np.frombuffer(b"".join(solved), np.int32), [len(e) // 4 for e in solved]
+
+    def _remember(self, words: list[list[bytes]]) -> None:
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
         fresh = list({w for own in words for w in own}.difference(self.cache))
@@ -168,8 +205,6 @@ class Tokenizer:
                 stop += 1
             self._solve(fresh[start:stop])
             start = stop
-        get = self.cache.__getitem__
-        return [b"".join(map(get, own)) for own in words]
 
     def _solve(self, words: list[bytes]) -> None:
         n, longest = len(words), len(words[-1])
@@ -237,8 +272,48 @@ def default_model_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def _shared(docs: DataFrame, model_path: str | None):
+def fit(docs: DataFrame, model_path: str | None = None, text: str = "text") -> Tokenizer:
+    """The model's pieces with log probabilities estimated from all texts of ``docs``."""
+    spark = docs.sparkSession
     tokenizer = Tokenizer(Pieces.read(model_path or default_model_path()))
+    shared = spark.sparkContext.broadcast(tokenizer)
+
+    def count(parts):
+        split, seen = shared.value.words, Counter()
+        for part in parts:
+            for t in part.column(0).to_pylist():
+                seen.update(split(t))
+                if len(seen) > CACHE_WORDS:
+                    yield list(seen), list(seen.values())
+                    seen.clear()
+        yield list(seen), list(seen.values())
+
+    counted = fold_rows(docs.select(text), count, "word binary, n long")
+    words = keep(counted.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    tokenizer = tokenizer.estimated({})
+    for _ in range(ESTIMATES):
+        tokenizer = tokenizer.estimated(_piece_counts(words, tokenizer))
+    return tokenizer
+
+
+def _piece_counts(words: DataFrame, tokenizer: Tokenizer) -> dict[int, int]:
+    """How often each piece stands in the best segmentations of counted words."""
+    shared = words.sparkSession.sparkContext.broadcast(tokenizer)
+
+    def count(parts):
+        own = shared.value
+        total = np.zeros(len(own.pieces.texts), np.int64)
+        for part in parts:
+            ids, sizes = own.segment(part.column(0).to_pylist())
+            np.add.at(total, ids, np.repeat(part.column(1).to_numpy(), sizes))
+        found = np.flatnonzero(total)
+        yield found, total[found]
+
+    counted = fold_rows(words, count, "piece int, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+    return {r.piece: r.n for r in counted.collect()}
+
+
+def _shared(docs: DataFrame, tokenizer: Tokenizer):
     return docs.sparkSession.sparkContext.broadcast(tokenizer)
 
 
@@ -248,9 +323,12 @@ def _fallbacks(tokenizer: Tokenizer) -> np.ndarray:
     return is_byte
 
 
-def encode_documents(docs: DataFrame, model_path: str | None = None, text: str = "text") -> DataFrame:
-    """Append token_ids (array of int) to every row."""
-    shared, at = _shared(docs, model_path), docs.columns.index(text)
+def encode_documents(
+    docs: DataFrame, model_path: str | None = None, text: str = "text", tokenizer: Tokenizer | None = None
+) -> DataFrame:
+    """Append token_ids (array of int) to every row. Without a ``tokenizer`` one is fitted to ``docs``."""
+    shared = _shared(docs, tokenizer or fit(docs, model_path, text))
+    at = docs.columns.index(text)
 
     def make():
         tokenizer = shared.value
@@ -265,9 +343,12 @@ def encode_documents(docs: DataFrame, model_path: str | None = None, text: str =
     return map_rows(docs, make, "token_ids array<int>")
 
 
-def encode_and_decode(docs: DataFrame, model_path: str | None = None, text: str = "text") -> DataFrame:
+def encode_and_decode(
+    docs: DataFrame, model_path: str | None = None, text: str = "text", tokenizer: Tokenizer | None = None
+) -> DataFrame:
     """Append n_tokens, token_ids and decoded: what the ids say, decoded from them in the same task."""
-    shared, at = _shared(docs, model_path), docs.columns.index(text)
+    shared = _shared(docs, tokenizer or fit(docs, model_path, text))
+    at = docs.columns.index(text)
 
     def make():
         tokenizer = shared.value
@@ -287,7 +368,8 @@ def encode_and_decode(docs: DataFrame, model_path: str | None = None, text: str
 
 def decode_documents(docs: DataFrame, model_path: str | None = None, ids: str = "token_ids") -> DataFrame:
     """Append decoded (text) to every row that has token ids."""
-    shared, at = _shared(docs, model_path), docs.columns.index(ids)
+    shared = _shared(docs, Tokenizer(Pieces.read(model_path or default_model_path())))
+    at = docs.columns.index(ids)
 
     def make():
         tokenizer = shared.value
@@ -302,9 +384,12 @@ def decode_documents(docs: DataFrame, model_path: str | None = None, ids: str =
     return map_rows(docs, make, "decoded string")
 
 
-def token_digests(docs: DataFrame, model_path: str | None = None, text: str = "text") -> DataFrame:
+def token_digests(
+    docs: DataFrame, model_path: str | None = None, text: str = "text", tokenizer: Tokenizer | None = None
+) -> DataFrame:
     """Encode and decode every row: n_tokens, n_bytes, n_fallback, ids_crc32 and round_trip."""
-    shared, at = _shared(docs, model_path), docs.columns.index(text)
+    shared = _shared(docs, tokenizer or fit(docs, model_path, text))
+    at = docs.columns.index(text)
 
     def make():
         tokenizer = shared.value

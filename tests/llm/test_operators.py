@@ -403,3 +403,20 @@ def test_tokens_round_trip_and_are_optimal(odd, none, docs):
     both = tokenize.decode_documents(tokenize.encode_documents(docs.select("doc_id", "text")))
     assert both.filter("decoded <> text").count() == 0
     assert tokenize.token_digests(none).count() == 0
+
+
+def test_piece_scores_are_log_probabilities_of_the_texts(spark, docs):
+    common = "the government of the international people said that the world is one"
+    frame = spark.createDataFrame([(i, common) for i in range(40)], "doc_id long, text string").unionByName(docs.select("doc_id", "text"))
+    tokenizer = tokenize.fit(frame)
+    scores = tokenizer.pieces.scores[tokenizer.usable]
+    assert scores.max() < 0 and abs(np.exp(scores).sum() - 1) < 1e-3
+    for word in ("the", "international", "government"):
+        assert len(np.frombuffer(tokenizer.encode([word])[0], np.int32)) == 1
+    # Fewer tokens than under merge ranks, and the same scores whatever the partitions.
+    ranks = tokenize.Tokenizer(tokenize.Pieces.read(tokenize.default_model_path()))
+    texts = [r.text for r in docs.collect()]
+    assert sum(map(len, tokenizer.encode(texts))) < 0.95 * sum(map(len, ranks.encode(texts)))
+    assert (tokenize.fit(frame.repartition(5)).pieces.scores == tokenizer.pieces.scores).all()
+    found = {r.doc_id: r.token_ids for r in tokenize.encode_documents(docs.select("doc_id", "text"), tokenizer=tokenizer).collect()}
+    assert all(found[r.doc_id] == list(np.frombuffer(tokenizer.encode([r.text])[0], np.int32)) for r in docs.collect())
