@@ -11,6 +11,9 @@ exactly; the k best per query and task meet in a last bounded grouping.
 Bounds are computed in doubles and widened by a relative margin; they only decide what is sent.
 Scores are exact: where products could pass 2^53, whole numbers of any size are multiplied.
 
+Equal rows of one query id are solved once and carry their number; as in a join, the list of such an
+id holds each neighbour that many times.
+
 Defined results: a vector that is NULL, or has a NULL or non-finite component, takes no part, nor
 does a row with a NULL id. Missing components of a shorter vector count as 0. Rows that share a
 query's id are never its candidates; other repeated rows are candidates each. Scores beyond 64
@@ -98,7 +101,7 @@ def exact_top_k(
     rows = keep(_quantized(df, vec_id, vector, factor), "vectors")
     n_queries, width = row_count(rows.filter(is_query)), rows.agg(F.max(F.length("v"))).first()[0]
     spark = df.sparkSession
-    out = "query_id long, vec_id long, score long"
+    out = "query_id long, vec_id long, score long, copies long"
     if not n_queries:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     width = (width or 0) // 8
@@ -120,7 +123,9 @@ def exact_top_k(
 
     celled = keep(map_rows(rows, assigned, "cell int, far double, norm double", rows=4096), "cells")
     data = {r.cell: r for r in celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far")).collect()}
-    queries = celled.filter(is_query)
+    queries = celled.filter(is_query).groupBy("vec_id", "v", "cell", "far").agg(F.count(F.lit(1)).alias("copies"))
+    # So many rows may have a query's own id and be none of its candidates.
+    own_rows = queries.groupBy("vec_id").agg(F.sum("copies").alias("n")).agg(F.max("n")).first()[0]
     asked = {r.cell: r for r in queries.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far")).collect()}
 
     cells = sorted(asked)
@@ -135,10 +140,10 @@ def exact_top_k(
         seen, least[i] = 0, -np.inf
         for low, n in lows:
             seen += n
-            if seen > k:  # one of them may be the query itself
+            if seen >= k + own_rows:
                 least[i] = low - _MARGIN * (1 + abs(low))
                 break
-    own = queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), "cell")
+    own = queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), "copies", "cell")
     blocks = {i: -(-asked[i].n // QUERIES_PER_BLOCK) for i in cells}
     n_salts = max(1, -(-n_rows // DATA_PER_TASK))
     centres, radii = pivots[cells], np.array([asked[i].far for i in cells])
@@ -160,12 +165,13 @@ def exact_top_k(
     counts = F.element_at(F.create_map(*[F.lit(x) for i in cells for x in (i, blocks[i])]), F.col("cell"))
     sent = sent.select("vec_id", "v", "salt", "cell", F.explode(F.sequence(F.lit(0), counts - 1)).alias("block"))
     block = F.pmod(F.xxhash64("query_id"), counts).cast("int")
-    own = own.select("query_id", "q", "cell", block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(n_salts - 1))).alias("salt"))
+    own = own.select("query_id", "q", "copies", "cell", block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(n_salts - 1))).alias("salt"))
 
     def solve(left: pa.Table, right: pa.Table) -> pa.Table:
-        result = ([], [], [])
+        result = ([], [], [], [])
         if left.num_rows and right.num_rows:
             query_ids, data_ids = left.column("query_id").to_numpy(), right.column("vec_id").to_numpy()
+            copies = left.column("copies").to_numpy()
             q = _matrix(left.column("q").to_pylist(), width)
             x = _matrix(right.column("v").to_pylist(), width)
             if np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * max(1, width) >= 2.0**53:
@@ -176,11 +182,15 @@ def exact_top_k(
                     result[0].extend([query_ids[start + i]] * len(ids))
                     result[1].extend(ids)
                     result[2].extend(int(v) for v in values)
-        return pa.table([pa.array(c, pa.int64()) for c in result], ["query_id", "vec_id", "score"])
+                    result[3].extend([copies[start + i]] * len(ids))
+        return pa.table([pa.array(c, pa.int64()) for c in result], ["query_id", "vec_id", "score", "copies"])
 
     keys = ("cell", "block", "salt")
     found = own.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInArrow(solve, out)
-    # Each query has at most k rows per salt here; a repeated query row counts once.
+    # Each distinct query row has at most k rows per salt here; one with copies takes a rank for each.
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    last = F.sum("copies").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = found.withColumn("last", last).withColumn("first", F.col("last") - F.col("copies") + 1)
+    ranks = F.explode(F.sequence("first", F.least("last", F.lit(k).cast("long"))))
+    ranked = ranked.filter(F.col("first") <= k).select("query_id", ranks.alias("rank"), "vec_id", "score")
+    return ranked.withColumn("rank", F.col("rank").cast("int"))

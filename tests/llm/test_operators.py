@@ -181,6 +181,19 @@ def test_top_k_matches_brute_force(spark):
     assert voronoi_knn.exact_top_k(few, F.col("vec_id") % 20 == 0).count() == 2
 
 
+def test_top_k_of_repeated_ids(spark):
+    """Rows of a query's own id fill its best cell; lists of copies are those of a join."""
+    near, far = [10.0, 0.0], [5.0, 0.0]
+    vectors = [(0, near)] * 25 + [(20, far)] * 2 + [(i, [5.0, i / 64]) for i in range(1, 20)] + [(i, [-5.0, 5.0]) for i in range(21, 40)] + [(60, [0.0, -5.0])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    good = [(i, np.floor(64 * np.array(v))) for i, v in vectors]
+    want = []
+    for q in (0, 20, 60):
+        best = sorted((-int(v @ x), i) for p, v in good if p == q for i, x in good if i != q)[:20]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert sorted(rows(voronoi_knn.exact_top_k(df, F.col("vec_id") % 20 == 0))) == want
+
+
 # ---- html
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
