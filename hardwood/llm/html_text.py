@@ -40,12 +40,20 @@ _ATTRIBUTE_WORD = re.compile(r"[a-z]+")
 _HIDDEN = re.compile(r"\shidden(?:\s|=|/|\Z)|display\s*:\s*none", re.I)
 
 #: Elements whose content is no text.
-RAW = frozenset("script style noscript template textarea iframe object svg math select title canvas audio video".split())
+RAW = frozenset("script style noscript textarea iframe title xmp noembed noframes".split())
 #: Elements that flow within a line: they make no node of their own.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
-    "small span strike strong sub sup time tt u var wbr input button picture source link meta base col hr".split()
+    "small span strike strong sub sup time tt u var wbr input button picture source link meta base col hr "
+    # Media, drawings and formulas, with what they hold: their text flows on, whether they are closed or not.
+    "object audio video canvas track param svg g defs symbol use text tspan textpath desc metadata switch path rect circle "
+    "ellipse line polyline polygon image marker pattern mask clippath filter lineargradient radialgradient stop animate "
+    "animatetransform animatemotion set math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle merror mpadded mphantom "
+    "menclose mspace msub msup msubsup munder mover munderover mmultiscripts mprescripts none mtable mtr mtd semantics "
+    "annotation annotation-xml maction".split()
 )
+#: What a choice may hold: any other block ends an unclosed one.
+_CHOICE = frozenset("select optgroup option".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _ENDS_ITEM = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"),
               "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select"),
@@ -66,7 +74,8 @@ TOKEN_GROUPS = (
     "form search login signin signup subscribe newsletter register contact",
 )
 _GROUP = {word: i for i, words in enumerate(TOKEN_GROUPS) for word in words.split()}
-_TAG_GROUP = {"article": 0, "main": 0, "nav": 1, "menu": 1, "aside": 5, "footer": 7, "header": 8, "form": 9, "fieldset": 9, "dialog": 4}
+_TAG_GROUP = {"article": 0, "main": 0, "nav": 1, "menu": 1, "aside": 5, "footer": 7, "header": 8, "form": 9, "fieldset": 9, "select": 9, "dialog": 4,
+              "template": len(TOKEN_GROUPS)}  # not shown, as what is hidden
 TAGS = ("p", "div", "section", "h", "li", "ul", "table", "td", "blockquote", "pre", "body", "html", "figure")
 _TAG_NUMBER = {t: i + 1 for i, t in enumerate(TAGS)} | {f"h{i}": 4 for i in range(1, 7)} | {"ol": 6, "tr": 7, "th": 8}
 
@@ -115,7 +124,7 @@ class Page:
             if name in INLINE:
                 if name == "a":
                     link = not closing
-                elif name in ("br", "hr"):
+                elif name in ("br", "hr", "text", "mtd"):
                     held.append(" ")
                 continue
             attributes = match[3] or match[6] or ""
@@ -134,8 +143,11 @@ class Page:
                 continue
             if name in VOID:
                 continue
-            if names[-1] == "p":
-                names.pop(), stack.pop()
+            if name not in _CHOICE:
+                while names[-1] in _CHOICE:
+                    names.pop(), stack.pop()
+                if names[-1] == "p":
+                    names.pop(), stack.pop()
             if name in _ENDS_ITEM:
                 ended, scope = _ENDS_ITEM[name]
                 for i in range(len(names) - 1, 0, -1):

@@ -225,6 +225,22 @@ def test_held_out_nodes_and_no_contradictions():
     assert not (keep & ~keep[parent]).any()
 
 
+def test_unclosed_and_embedded_elements_lose_no_text():
+    def lines(html):
+        return [text for _, text in html_text.Page(html).runs]
+
+    for tag in ("video", "object", "select", "canvas", "svg", "audio", "math", "template"):
+        assert lines(f"<article><p>a<{tag} x=1><p>b<p>c</article><p>d") == ["a", "b", "c", "d"]
+    model = html_text.train()
+    plain = html_text.main_texts(["<article><p>a<p>b<p>c</article>"], model)[0]
+    assert html_text.main_texts(["<article><p>a<video src=x><p>b<p>c</article>"], model) == [plain]
+    formula = "<p>where <math><msup><mi>x</mi><mn>2</mn></msup></math> is <object data=x>a figure</object> of it</p>"
+    assert lines(formula) == ["where x2 is a figure of it"]
+    assert lines("<p>a<script>b</script><textarea>c</textarea>d") == ["ad"]
+    page = html_text.Page("<p>Pick <select><option>x<option>y</select> now</p>")
+    assert page.runs[-1] == (1, "now") and page.own[2] & 1 << 9
+
+
 # ---- decontamination
 
 def test_contained_items_match_brute_force(spark, docs, sf_dir):
