@@ -79,14 +79,23 @@ def map_rows(
 
 
 def fold_rows(
-    df: DataFrame, fold: Callable[[Iterator[pa.RecordBatch]], Iterator[Sequence]], schema: str
+    df: DataFrame,
+    fold: Callable[[Iterator[pa.RecordBatch]], Iterator[Sequence]],
+    schema: str,
+    rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Rows of ``schema`` that ``fold`` yields, column lists at a time, from a partition's slices."""
+    """Rows of ``schema`` that ``fold`` yields, columns at a time, from a partition's slices.
+
+    Slices of whole texts have few rows; narrow rows, such as words, go in slices of more ``rows``.
+    """
     types = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in fold(slices(batches)):
-            arrays = [pa.array(c, type=t) for c, t in zip(columns, types.types, strict=True)]
+        for columns in fold(slices(batches, rows)):
+            arrays = [
+                c if isinstance(c, pa.Array) else pa.array(c, type=t)
+                for c, t in zip(columns, types.types, strict=True)
+            ]
             yield pa.RecordBatch.from_arrays(arrays, types.names)
 
     return df.mapInArrow(run, schema)

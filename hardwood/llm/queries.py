@@ -15,9 +15,12 @@ from hardwood.llm import (
     near_dup,
     personal_data,
     sharding,
+    simhash,
+    spelling,
     tokenize,
     toxicity,
     voronoi_knn,
+    whitening,
 )
 from hardwood.llm.common import folds, ship, table
 
@@ -82,9 +85,29 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize.token_digests(_documents(spark, sf_dir))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    white = whitening.whiten(vectors, factor=64.0, components=16)
+    # Beyond 64 bits the cast raises; the operator's own deviation has 38 digits.
+    return white.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op12_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_documents(spark, sf_dir), size=3)
+    fingerprint = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", fingerprint.alias("fingerprint"), "component_id")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_documents(spark, sf_dir), every=97).select(
+        "word", "form", "root", "n", "n_near", "form_n"
+    )
+
+
 QUERIES = (
     op1_toxicity, op2_minhash_near_dup, op3_voronoi_knn, op4_html_extraction, op5_decontamination,
     op6_license_scan, op7_pii, op8_sharding, op9_language_id, op10_sentencepiece,
+    op11_embedding_whitening, op12_simhash_near_dup, op13_spelling_variants,
 )
 
 
