@@ -12,13 +12,14 @@ from pyspark.sql import SparkSession
 
 from hardwood.plans.analyses import ANALYSES, side_totals
 from hardwood.plans.star import Staging, Star, build_star, require_valid
+from hardwood.sinks import versions
 from hardwood.sinks.scratch import keep, release
 from hardwood.sinks.tables import (
     Exported,
     export,
+    publish_catalog,
     read_staging,
     read_star,
-    replace_folder,
     write_staging,
     write_star,
 )
@@ -42,37 +43,39 @@ def load(spark: SparkSession, landing: str, out: str, lines: bool = False) -> St
         team_stats_base=landed.read_team_stats_base(spark, f"{landing}/team_stats", lines),
         team_stats_advanced=landed.read_team_stats_advanced(spark, f"{landing}/team_stats", lines),
     )
-    for table, rows in write_staging(staging, f"{out}/staging").items():
-        logger.info("staging %s: %d rows", table, rows)
-        if rows == 0:
-            logger.warning("staging %s is empty", table)
+    write_staging(staging, f"{out}/staging")
     return read_staging(spark, f"{out}/staging")
 
 
 def transform(spark: SparkSession, staging: Staging, out: str) -> Star:
-    """Build and write the star schema, check what was written, and put it at ``out/star``.
+    """Build and write the star schema, check what was written, and commit it at ``out/star``.
 
     The tables are written once, beside the older star, and checked as written: the checks read a
-    few columns and derive nothing again. Only a valid star replaces the older one.
+    few columns and derive nothing again. A failure at any step leaves the older star as it is.
     """
-    candidate = f"{out}/star_unchecked"
+    base = f"{out}/star"
+    candidate = versions.new_version(base)
     for table, rows in write_star(build_star(staging), candidate).items():
         logger.info("%s: %d rows", table, rows)
     require_valid(read_star(spark, candidate))
-    replace_folder(spark, candidate, f"{out}/star")
-    return read_star(spark, f"{out}/star")
+    versions.commit(spark, base, candidate)
+    return read_star(spark, base)
 
 
-def export_all(star: Star, base: str) -> dict[str, Exported]:
-    """Export every analysis in order, stopping at the first failure; returns name to URI and rows.
+def export_all(star: Star, base: str, star_version: str = "") -> dict[str, Exported]:
+    """Export every analysis in order and publish all together; returns URI, rows and schema by name.
 
-    The facts are reduced once to the totals that most analyses start from.
+    The first failure raises, and the catalog published before stays. The facts are reduced once to
+    the totals that most analyses start from.
     """
+    spark = star.dim_team.sparkSession
+    folder = versions.new_version(base)
     totals = keep(side_totals(star), "side_totals")
     exported = {}
     for name, analysis in ANALYSES.items():
-        exported[name] = export(analysis.run(star, totals), base, analysis.theme, name)
+        exported[name] = export(analysis.run(star, totals), folder, analysis.theme, name)
         logger.info("%s: %d rows written to %s", name, exported[name].rows, exported[name].uri)
+    publish_catalog(spark, base, folder, exported, star_version)
     return exported
 
 
@@ -82,7 +85,8 @@ def run(spark: SparkSession, landing: str, out: str, lines: bool = False) -> dic
     with _phase("transform"):
         star = transform(spark, staging, out)
     with _phase("export"):
-        return export_all(star, f"{out}/exports")
+        version = versions.version_name(versions.current(spark, f"{out}/star"))
+        return export_all(star, f"{out}/exports", version)
 
 
 def main(arguments: list[str]) -> None:

@@ -11,7 +11,8 @@ import logging
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 logger = logging.getLogger(__name__)
 
@@ -44,6 +45,13 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keep_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """The written table, and its rows, counted while it was written."""
+    written = Observation()
+    kept = keep(df.observe(written, F.count(F.lit(1)).alias("rows")), label)
+    return kept, written.get["rows"]
+
+
 def release(spark: SparkSession) -> None:
     """Remove everything this application wrote here; frames read from it are then void."""
     folder = f"{shared_folder(spark)}/hardwood/{spark.sparkContext.applicationId}"

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import logging
+from collections.abc import Mapping, Sequence
 from dataclasses import fields
 from typing import NamedTuple
 
@@ -11,8 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from hardwood.plans.star import Staging, Star
+from hardwood.sinks import versions
 from hardwood.sources import schemas
 
+logger = logging.getLogger(__name__)
+
 STAGING_SCHEMAS = {
     "teams": schemas.STAGING_TEAMS,
     "game_log": schemas.STAGING_GAME_LOG,
@@ -30,6 +35,8 @@ STAR_SCHEMAS = {
 # The tables that grow with the number of games.
 LARGE_TABLES = ("dim_game", "fact_team_game")
 
+_MANIFEST = "name string, uri string, rows long, schema string, star string"
+
 
 def write_table(df: DataFrame, uri: str, partition_by: Sequence[str] = ()) -> int:
     """Overwrite the Parquet table at ``uri`` and return its rows, counted during the write."""
@@ -45,10 +52,16 @@ def read_table(spark: SparkSession, uri: str, schema: StructType) -> DataFrame:
 
 
 def write_staging(staging: Staging, base: str) -> dict[str, int]:
-    return {
+    """Write the staging tables and return their numbers of rows; an empty one is warned about."""
+    counts = {
         field.name: write_table(getattr(staging, field.name), f"{base}/{field.name}")
         for field in fields(Staging)
     }
+    for table, rows in counts.items():
+        logger.info("staging %s: %d rows", table, rows)
+        if rows == 0:
+            logger.warning("staging %s is empty", table)
+    return counts
 
 
 def read_staging(spark: SparkSession, base: str) -> Staging:
@@ -75,31 +88,51 @@ def write_star(star: Star, base: str, by_season: bool = False) -> dict[str, int]
 
 
 def read_star(spark: SparkSession, base: str) -> Star:
+    """The star at ``base``: its current version, or the tables themselves where none was committed."""
+    folder = versions.current(spark, base) or base
     return Star(
-        **{name: read_table(spark, f"{base}/{name}", s) for name, s in STAR_SCHEMAS.items()}
+        **{name: read_table(spark, f"{folder}/{name}", s) for name, s in STAR_SCHEMAS.items()}
     )
 
 
-def replace_folder(spark: SparkSession, source: str, target: str) -> None:
-    """Put the folder ``source`` in the place of ``target``, in the store's own way of renaming."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    old, new = hadoop.Path(target), hadoop.Path(source)
-    system = new.getFileSystem(spark._jsc.hadoopConfiguration())
-    system.delete(old, True)
-    if not system.rename(new, old):
-        raise OSError(f"{source} could not be renamed to {target}")
-
-
 class Exported(NamedTuple):
     uri: str
     rows: int
+    schema: str
 
 
 def export(df: DataFrame, base: str, theme: str, name: str) -> Exported:
-    """Write one result under ``base/theme/name``; returns that URI and the rows written.
+    """Write one result under ``base/theme/name``; returns that URI, the rows written and their schema.
 
     ``base`` is any location Spark can write to, such as an object-store URI. Executors write
     the files themselves.
     """
     uri = f"{base.rstrip('/')}/{theme}/{name}"
-    return Exported(uri, write_table(df, uri))
+    return Exported(uri, write_table(df, uri), df.schema.json())
+
+
+def publish_catalog(
+    spark: SparkSession, base: str, folder: str, results: Mapping[str, Exported], star: str
+) -> None:
+    """Commit the results written under ``folder`` as the catalog of ``base``.
+
+    Its manifest, one row per result, is written with them: name, URI, rows, schema and the version
+    of the star they come from.
+    """
+    rows = [(name, *result, star) for name, result in results.items()]
+    spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.parquet(f"{folder}/manifest")
+    versions.commit(spark, base, folder)
+
+
+def read_catalog(spark: SparkSession, base: str) -> dict[str, Exported]:
+    """The results of the last catalog that was published whole at ``base``, by name."""
+    folder = versions.current(spark, base)
+    if folder is None:
+        return {}
+    rows = spark.read.schema(_MANIFEST).parquet(f"{folder}/manifest").collect()  # a row per analysis
+    return {row.name: Exported(row.uri, row.rows, row.schema) for row in rows}
+
+
+def read_result(spark: SparkSession, result: Exported) -> DataFrame:
+    """A published result, with the columns and types it was written with."""
+    return spark.read.schema(StructType.fromJson(json.loads(result.schema))).parquet(result.uri)
