@@ -12,8 +12,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hardwood.operators.sizes import ONE_TASK_ROWS, same_keys
+from hardwood.operators.sizes import ONE_TASK_ROWS, hot_groups, same_keys
 from hardwood.operators.windows import row_positions
+from hardwood.sinks.scratch import keep, keep_counted
 
 
 def won(result: Column) -> Column:
@@ -60,28 +61,44 @@ def change_from_previous(value: Column, order: str) -> Column:
 
 
 def with_ranks(
-    df: DataFrame, ranks: Mapping[str, str], rows: int, rows_per_task: int = ONE_TASK_ROWS
+    df: DataFrame, ranks: Mapping[str, str], rows_per_task: int = ONE_TASK_ROWS
 ) -> DataFrame:
     """Add a rank, largest value first, per entry ``{rank name: value column}`` of ``ranks``.
 
-    ``rows`` bounds the rows of ``df``. Up to ``rows_per_task`` they are ranked by one sort in
-    one task; beyond that a row's rank is the first position of its value among all rows.
+    ``df`` is written first, and counted by that. Up to ``rows_per_task`` rows are ranked by one
+    sort in one task; beyond that a value's rank follows from the counts of all larger values.
     """
+    df, rows = keep_counted(df, "to_rank")
     for name, value in ranks.items():
-        order = F.col(value).desc_nulls_last()
         if rows <= rows_per_task:
+            order = F.col(value).desc_nulls_last()
             df = df.withColumn(name, F.rank().over(Window.orderBy(order)).cast("long"))
             continue
-        placed = row_positions(df, [], [order], "_position", rows_per_task)
-        first = placed.groupBy(F.col(value).alias("_of_" + value)).agg(
-            F.min("_position").alias(name)
-        )
-        df = placed.join(first, same_keys(placed, first, [value], "_of_")).drop(
-            "_position", "_of_" + value
-        )
+        first = _first_positions(df, value, name, rows, rows_per_task)
+        df = df.join(first, same_keys(df, first, [value], "_of_")).drop("_of_" + value)
     return df
 
 
+def _first_positions(
+    df: DataFrame, value: str, name: str, rows: int, rows_per_task: int
+) -> DataFrame:
+    """The first position of each distinct value among all ``rows``, largest first, as column ``name``.
+
+    Prefix sums of (value, count) in ranges of values; one total per range meets in one task.
+    """
+    counts = df.groupBy(F.col(value).alias("_of_" + value)).agg(F.count(F.lit(1)).alias("_rows"))
+    order = F.col("_of_" + value).desc_nulls_last()
+    ranged = counts.repartitionByRange(1 + 2 * rows // rows_per_task, order)
+    ranged = keep(ranged.withColumn("_range", F.spark_partition_id()), "value_counts")
+    earlier = Window.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy(F.col("_range").alias("_at")).agg(F.sum("_rows").alias("_rows"))
+    starts = starts.select("_at", F.sum("_rows").over(earlier).alias("_before"))
+    larger = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = ranged.withColumn("_inside", F.sum("_rows").over(larger))
+    position = 1 + F.coalesce("_before", F.lit(0)) + F.coalesce("_inside", F.lit(0))
+    return inside.join(starts, F.col("_range") == F.col("_at")).select("_of_" + value, position.alias(name))
+
+
 def with_tier(
     df: DataFrame,
     tiers: int,
@@ -89,16 +106,17 @@ def with_tier(
     value: str,
     tie_break: str,
     name: str,
-    rows: int,
     rows_per_task: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Split each group into ``tiers`` near-equal tiers, largest ``value`` in tier 1.
 
-    ``rows`` bounds the rows of one group. Up to ``rows_per_task`` a group is split in one
-    task; beyond that by its rows' positions in a range-partitioned sort.
+    ``df`` is written first, and counted by that. Groups of up to ``rows_per_task`` rows are split
+    in one task each; when one is larger, all are, by their rows' positions in a range-partitioned
+    sort.
     """
+    df, rows = keep_counted(df, "to_split")
     order = [F.col(value).desc_nulls_last(), F.col(tie_break).asc_nulls_last()]
-    if rows <= rows_per_task:
+    if rows <= rows_per_task or hot_groups(df, keys, rows_per_task) is None:
         return df.withColumn(name, F.ntile(tiers).over(Window.partitionBy(*keys).orderBy(*order)))
     placed = row_positions(df, keys, order, "_position", rows_per_task)
     sizes = placed.groupBy(*[F.col(key).alias("_of_" + key) for key in keys]).agg(

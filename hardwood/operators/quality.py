@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -52,3 +52,30 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, counts)
+
+
+def order_violations(spark: SparkSession, uri: str, order: Sequence[str]) -> DataFrame:
+    """Rows of the written table at ``uri`` that stand before a row they belong after, NULLs last.
+
+    ``order`` holds SQL expressions. A Parquet folder has no row order of its own; what was written
+    in order lies in files whose names follow each other. So each file's rows are compared with the
+    row before them, and each file's first row with the last row of the file before: one row per
+    file meets there. Returns file_name and row_index.
+    """
+    keys = [part for text in order for part in (F.expr(text).isNull(), F.expr(text))]
+    named = [key.alias(f"k{i}") for i, key in enumerate(keys)]
+    rows = spark.read.parquet(uri).select(
+        F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.row_index").alias("row_index"),
+        F.struct(*named).alias("key"),
+    )
+    in_file = Window.partitionBy("file_name").orderBy("row_index")
+    inside = rows.withColumn("before", F.lag("key").over(in_file))
+    ends = rows.groupBy("file_name").agg(
+        F.min("row_index").alias("row_index"),
+        F.min_by("key", "row_index").alias("key"),
+        F.max_by("key", "row_index").alias("last"),
+    )
+    between = ends.withColumn("before", F.lag("last").over(Window.orderBy("file_name"))).drop("last")
+    checked = inside.unionByName(between.select(*inside.columns))
+    return checked.filter(F.col("before") > F.col("key")).select("file_name", "row_index")

@@ -15,13 +15,15 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from hardwood.operators.sizes import ONE_TASK_ROWS, hot_groups, same_keys
+from hardwood.operators.sizes import BROADCAST_ROWS, ONE_TASK_ROWS, hot_groups, same_keys
 from hardwood.sinks.scratch import keep
 
 WindowColumn = Callable[[WindowSpec], Column]
 
 _CHUNK, _HASH, _COPY = "_chunk", "_hash", "_copy"
 _ADDED = (_CHUNK, _HASH, _COPY)
+#: The column that :func:`lay_out` adds.
+PART = "_part"
 
 
 def ascending(columns: Sequence[str]) -> list[Column]:
@@ -58,13 +60,14 @@ def look_back(
     columns: Mapping[str, WindowColumn],
     sized_by: DataFrame | None = None,
     rows_per_task: int = ONE_TASK_ROWS,
-    arrange: Callable[[DataFrame], DataFrame] = lambda frame: frame,
+    chunk_rows: int | None = None,
 ) -> DataFrame:
     """Add window columns that look at the current row and at most ``depth`` rows before it.
 
     ``sized_by`` is a stored table with at least as many rows per group as ``df``, for a cheaper
-    search for hot groups. ``arrange`` may lay out the frame before its window when no group is
-    hot. End ``order`` with a column that is unique in its group to fix the order of ties.
+    search for hot groups: those of more than ``rows_per_task`` rows, which are cut into chunks of
+    about ``chunk_rows`` (by default as many). End ``order`` with a column that is unique in its
+    group to fix the order of ties.
     """
     window_order = ascending(order)
     names = list(columns)
@@ -75,7 +78,7 @@ def look_back(
     whole = Window.partitionBy(*keys)
     found = hot_groups(df if sized_by is None else sized_by, keys, rows_per_task)
     if found is None:
-        return add(arrange(df), whole.orderBy(*window_order))
+        return add(df, whole.orderBy(*window_order))
 
     hot, hot_rows = found
     is_hot = same_keys(df, hot, keys, "_hot_")
@@ -85,7 +88,7 @@ def look_back(
         df.join(hot, is_hot, "left_semi"),
         keys,
         window_order,
-        _chunk_count(hot_rows, rows_per_task),
+        _chunk_count(hot_rows, chunk_rows or rows_per_task),
     )
     in_chunk = Window.partitionBy(_CHUNK, *keys)
     numbered = (
@@ -105,6 +108,31 @@ def look_back(
     )
 
 
+def lay_out(
+    df: DataFrame, keys: Sequence[str], sizes: DataFrame, rows_per_task: int = ONE_TASK_ROWS
+) -> DataFrame | None:
+    """``df`` in ranges of its groups' sort order, with the number of its range in column ``PART``.
+
+    ``sizes`` holds every group of ``keys`` with its ``rows``. Their prefix sums give each group its
+    range, so nothing is sampled and ``df`` is computed once. A window partitioned by ``PART`` and
+    the keys needs no further shuffle, and neither does a sort by the keys: sorted within their
+    partitions, rows are sorted as a whole. None when there are too many groups to broadcast, or one
+    too large for a task.
+    """
+    groups, largest, total = sizes.agg(F.count(F.lit(1)), F.max("rows"), F.sum("rows")).first()
+    if not groups or groups > BROADCAST_ROWS or largest > rows_per_task:
+        return None
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // rows_per_task))
+    # One row per group: a bounded number, in one task.
+    before = Window.orderBy(*ascending(keys)).rowsBetween(Window.unboundedPreceding, -1)
+    part = F.coalesce(F.sum("rows").over(before), F.lit(0)) * parts
+    placed = sizes.select(
+        *[F.col(key).alias(f"_at_{key}") for key in keys], F.floor(part / total).cast("int").alias(PART)
+    )
+    met = df.join(F.broadcast(placed), same_keys(df, placed, keys, "_at_"))
+    return met.select(*df.columns, PART).repartitionById(parts, F.col(PART))
+
+
 def days_since_previous(
     df: DataFrame,
     keys: Sequence[str],

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hardwood.functions.compat import round_half_away
@@ -26,13 +26,18 @@ from hardwood.operators.metrics import (
     with_tier,
     won,
 )
-from hardwood.operators.sizes import broadcast_if_small
-from hardwood.operators.windows import ascending, rolling_mean
+from hardwood.operators.sizes import BROADCAST_ROWS, broadcast_if_small
+from hardwood.operators.windows import PART, ascending, lay_out, rolling_mean
 from hardwood.plans.star import Star
+from hardwood.sinks.scratch import keep
 
 # Label by strength tier.
 TIER_LABELS = {1: "Top Third", 2: "Middle Third", 3: "Bottom Third"}
 
+# Labels by rest before a game, from the least to the most, and when the last one holds.
+REST_LABELS = ("Back-to-Back", "Normal Rest", "Well Rested")
+WELL_RESTED_DAYS = 3
+
 
 def _at_home() -> Column:
     return F.col("is_home")
@@ -46,13 +51,21 @@ def _win() -> Column:
     return won(F.col("wl"))
 
 
-def side_totals(star: Star, by: Sequence[str] = ("team_id", "season_id")) -> DataFrame:
-    """Sums and counts of the facts by the columns ``by`` and location."""
+#: What totals may hold, by name: the column of the facts that is summed and counted.
+_MEASURES = {
+    "win": _win,
+    "margin": lambda: F.col("plus_minus"),
+    **{name: lambda name=name: F.col(name) for name in ("fg_pct", "fg3_pct", "fta", "tov")},
+}
+
+
+def side_totals(
+    star: Star, by: Sequence[str] = ("team_id", "season_id"), measures: Sequence[str] = tuple(_MEASURES)
+) -> DataFrame:
+    """Sums and counts of the facts by the columns ``by`` and location; only ``measures`` are read."""
     return star.fact_team_game.groupBy(*by, "is_home").agg(
         F.count(F.lit(1)).alias("games"),
-        *parts("win", _win()),
-        *parts("margin", F.col("plus_minus")),
-        *[part for name in ("fg_pct", "fg3_pct", "fta", "tov") for part in parts(name, F.col(name))],
+        *[part for name in measures for part in parts(name, _MEASURES[name]())],
     )
 
 
@@ -144,10 +157,11 @@ def covid_bubble(star: Star, totals: DataFrame) -> DataFrame:
 
 def back_to_back(star: Star) -> DataFrame:
     """Results by rest before the game and location."""
+    tired, usual, rested = REST_LABELS
     bucket = (
-        F.when(F.col("is_back_to_back"), "Back-to-Back")
-        .when(F.col("rest_days") >= 3, "Well Rested")
-        .otherwise("Normal Rest")
+        F.when(F.col("is_back_to_back"), tired)
+        .when(F.col("rest_days") >= WELL_RESTED_DAYS, rested)
+        .otherwise(usual)
     )
     result = (
         star.fact_team_game.filter(F.col("rest_days").isNotNull())
@@ -166,9 +180,7 @@ def shooting_boost(star: Star, totals: DataFrame) -> DataFrame:
         _home_gap("fg_pct").alias("fg_boost"), _home_gap("fg3_pct").alias("fg3_boost")
     )
     teams = star.dim_team.select("team_id", "full_name", "conference")
-    ranked = with_ranks(
-        boosts.join(teams, "team_id"), {"fg3_boost_rank": "fg3_boost"}, rows=teams.count()
-    )
+    ranked = with_ranks(boosts.join(teams, "team_id"), {"fg3_boost_rank": "fg3_boost"})
     return ranked.select(
         "full_name",
         "conference",
@@ -184,33 +196,28 @@ def rolling_home_win_pct(star: Star) -> DataFrame:
     Ordinary groups are laid out in ranges of team and season before the window, which serves
     the window and the final sort with one shuffle.
     """
-    home = star.fact_team_game.filter(_at_home()).select(
-        "game_id", "team_id", "season_id", _win().alias("win")
-    )
-    games = star.dim_game.select("game_id", "game_date", "month")
-    rolled = rolling_mean(
-        home.join(games, "game_id"),
-        keys=["team_id", "season_id"],
-        order=["game_date", "game_id"],
-        value="win",
-        rows=10,
-        name="rolling",
-        sized_by=star.fact_team_game,
-        arrange=lambda df: df.repartitionByRange(*ascending(["team_id", "season_id"])),
-    )
-    teams = broadcast_if_small(star.dim_team.select("team_id", "full_name"))
-    return (
-        rolled.join(teams, "team_id")
-        .select(
-            "team_id",
-            "full_name",
-            "season_id",
-            "game_date",
-            "month",
-            round_half_away(F.col("rolling"), 4).alias("rolling_10_home_w_pct"),
-        )
-        .orderBy(*ascending(["team_id", "season_id", "game_date"]))
+    keys, order = ["team_id", "season_id"], ["game_date", "game_id"]
+    at_home = star.fact_team_game.filter(_at_home())
+    home = at_home.select("game_id", *keys, _win().alias("win"))
+    games = home.join(star.dim_game.select("game_id", "game_date", "month"), "game_id")
+    teams = star.dim_team.select("team_id", "full_name")
+    sizes = keep(at_home.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")), "home_games")
+    laid = lay_out(games, keys, sizes) if teams.count() <= BROADCAST_ROWS else None
+    if laid is None:
+        rolled = rolling_mean(games, keys, order, "win", 10, "rolling", sized_by=star.fact_team_game)
+    else:
+        frame = Window.partitionBy(PART, *keys).orderBy(*ascending(order)).rowsBetween(-9, 0)
+        rolled = laid.withColumn("rolling", F.avg("win").over(frame))
+    result = rolled.join(broadcast_if_small(teams), "team_id").select(
+        "team_id",
+        "full_name",
+        "season_id",
+        "game_date",
+        "month",
+        round_half_away(F.col("rolling"), 4).alias("rolling_10_home_w_pct"),
     )
+    sort = result.orderBy if laid is None else result.sortWithinPartitions
+    return sort(*ascending([*keys, "game_date"]))
 
 
 def referee_bias(star: Star, totals: DataFrame) -> DataFrame:
@@ -265,7 +272,6 @@ def opponent_strength(star: Star, totals: DataFrame) -> DataFrame:
         value="season_w_pct",
         tie_break="team_id",
         name="tier",
-        rows=star.dim_team.count(),
     )
     hosted = (
         star.fact_team_game.filter(_at_home() & F.col("opponent_team_id").isNotNull())
@@ -298,7 +304,6 @@ def turnover_comfort(star: Star, totals: DataFrame) -> DataFrame:
     ranked = with_ranks(
         by_team.join(teams, "team_id"),
         {"tov_rank": "tov_gap", "w_pct_rank": "win_gap"},
-        rows=teams.count(),
     )
     return ranked.select(
         "full_name",
@@ -312,9 +317,16 @@ def turnover_comfort(star: Star, totals: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Analysis:
+    """One question: its theme, its plan, and what its rows are sorted by (SQL expressions, NULLs last).
+
+    ``totals_by`` and ``measures`` name what it needs of :func:`side_totals`.
+    """
+
     theme: str
     plan: Callable[..., DataFrame]
+    order: tuple[str, ...]
     totals_by: tuple[str, ...] = ()
+    measures: tuple[str, ...] = ()
 
     def run(self, star: Star, totals: DataFrame | None = None) -> DataFrame:
         """The result; ``totals`` are the :func:`side_totals` of ``star`` if already at hand.
@@ -323,18 +335,26 @@ class Analysis:
         """
         if not self.totals_by:
             return self.plan(star)
-        return self.plan(star, side_totals(star, self.totals_by) if totals is None else totals)
+        if totals is None:
+            totals = side_totals(star, self.totals_by, self.measures)
+        return self.plan(star, totals)
+
 
+# From the strongest opponents to the weakest.
+_BY_TIER = f"array_position(array({', '.join(map(repr, TIER_LABELS.values()))}), opponent_tier)"
+_TEAM, _SEASON, _BOTH = ("team_id",), ("season_id",), ("team_id", "season_id")
 
 ANALYSES = {
-    "q1_baseline_win_pct": Analysis("baseline", baseline_win_pct),
-    "q2_hca_trend": Analysis("trend", hca_trend),
-    "q3_covid_bubble": Analysis("natural_experiments", covid_bubble, ("season_id",)),
-    "q4_back_to_back": Analysis("scheduling", back_to_back),
-    "q5_shooting_boost": Analysis("performance", shooting_boost, ("team_id",)),
-    "q6_rolling_home_win_pct": Analysis("performance", rolling_home_win_pct),
-    "q7_referee_bias": Analysis("scheduling", referee_bias, ("season_id",)),
-    "q8_conference_hca": Analysis("context", conference_hca, ("team_id", "season_id")),
-    "q9_opponent_strength": Analysis("context", opponent_strength, ("team_id", "season_id")),
-    "q10_turnover_comfort": Analysis("performance", turnover_comfort, ("team_id",)),
+    "q1_baseline_win_pct": Analysis("baseline", baseline_win_pct, ("season_start_year", "location")),
+    "q2_hca_trend": Analysis("trend", hca_trend, ("season_start_year",)),
+    "q3_covid_bubble": Analysis(
+        "natural_experiments", covid_bubble, ("era", "is_bubble", "is_home"), _SEASON, ("win", "margin")
+    ),
+    "q4_back_to_back": Analysis("scheduling", back_to_back, ("rest_bucket", "is_home")),
+    "q5_shooting_boost": Analysis("performance", shooting_boost, ("fg3_boost_rank",), _TEAM, ("fg_pct", "fg3_pct")),
+    "q6_rolling_home_win_pct": Analysis("performance", rolling_home_win_pct, ("team_id", "season_id", "game_date")),
+    "q7_referee_bias": Analysis("scheduling", referee_bias, ("season_start_year",), _SEASON, ("fta",)),
+    "q8_conference_hca": Analysis("context", conference_hca, ("season_start_year", "conference"), _BOTH, ("win",)),
+    "q9_opponent_strength": Analysis("context", opponent_strength, (_BY_TIER,), _BOTH, ("win",)),
+    "q10_turnover_comfort": Analysis("performance", turnover_comfort, ("tov_rank",), _TEAM, ("tov", "win")),
 }
