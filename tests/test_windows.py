@@ -88,15 +88,54 @@ def test_row_positions(skewed):
 def test_ranks_beyond_one_task(skewed):
     with_null = skewed.withColumn("value", F.when(F.col("id") % 50 != 0, F.col("value")))
     ranks = {"by_value": "value", "by_id": "id"}
-    one_task = with_ranks(with_null, ranks, rows=1500)
-    spread = with_ranks(with_null, ranks, rows=1500, rows_per_task=ROWS_PER_TASK)
+    one_task = with_ranks(with_null, ranks)
+    spread = with_ranks(with_null, ranks, rows_per_task=ROWS_PER_TASK)
     assert bag(spread, *one_task.columns) == bag(one_task)
+    assert with_ranks(with_null.limit(0), ranks).count() == 0
+
+
+def test_ranks_are_counted_not_claimed(skewed):
+    """Beyond one task no window sees a row: only value counts are sorted, in many ranges."""
+    plan = with_ranks(skewed, {"r": "value"}, rows_per_task=ROWS_PER_TASK)._jdf.queryExecution().toString()
+    assert "rank(" not in plan
+    few = with_ranks(skewed, {"r": "value"})._jdf.queryExecution().toString()
+    assert "rank(" in few
 
 
 @pytest.mark.parametrize("tiers", [3, 7, 40])
 def test_tiers_beyond_one_task(skewed, tiers):
-    arguments = (skewed, tiers, ["grp"], "value", "id", "tier", 1500)
+    arguments = (skewed, tiers, ["grp"], "value", "id", "tier")
     spread = with_tier(*arguments, rows_per_task=ROWS_PER_TASK)
     one_task = with_tier(*arguments)
     assert spread.schema["tier"].dataType == one_task.schema["tier"].dataType
     assert bag(spread, *one_task.columns) == bag(one_task)
+
+
+def test_few_chunks_for_many_hot_groups(skewed, monkeypatch):
+    written = []
+    keep = windows.keep
+    monkeypatch.setattr(windows, "keep", lambda *a: written.append(keep(*a)) or written[-1])
+    arguments = (skewed, ["grp"], ["day", "id"], "value", 10, "mean")
+    rolled = rolling_mean(*arguments, rows_per_task=3, chunk_rows=200)
+    plain = Window.partitionBy("grp").orderBy("day", "id").rowsBetween(-9, 0)
+    assert bag(rolled) == bag(skewed.withColumn("mean", F.avg("value").over(plain)))
+    assert written[0].select("_chunk").distinct().count() < 20
+
+
+def test_layout_by_prefix_sums_is_sorted_as_a_whole(skewed):
+    sizes = skewed.groupBy("grp").agg(F.count(F.lit(1)).alias("rows"))
+    laid = windows.lay_out(skewed, ["grp"], sizes)
+    assert bag(laid, *skewed.columns) == bag(skewed)
+    assert laid.select(windows.PART).distinct().count() > 3
+    ordered = laid.sortWithinPartitions(*windows.ascending(["grp", "id"])).collect()
+    keys = [(r.grp is None, r.grp or 0, r.id) for r in ordered]
+    assert keys == sorted(keys)
+    # Too many groups for a broadcast, or one too large for a task.
+    assert windows.lay_out(skewed, ["grp"], sizes, rows_per_task=400) is None
+    assert windows.lay_out(skewed.limit(0), ["grp"], sizes.limit(0)) is None
+    monkey = windows.BROADCAST_ROWS
+    try:
+        windows.BROADCAST_ROWS = 10
+        assert windows.lay_out(skewed, ["grp"], sizes) is None
+    finally:
+        windows.BROADCAST_ROWS = monkey
