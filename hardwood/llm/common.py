@@ -19,6 +19,8 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 
 # Rows that a Python task holds at a time, besides the Arrow batch they come from.
 SLICE_ROWS = 256
+# Bytes above which such rows, very long texts among them, are taken in smaller pieces.
+SLICE_BYTES = 8 << 20
 # Words whose hashes (or other results) a Python task remembers before it forgets them all.
 CACHE_WORDS = 150_000
 
@@ -36,10 +38,33 @@ def folds(doc_id: str | Column, parts: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id) % parts
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, or a longer name when ``df`` has a column of that name in any case."""
+    taken = {name.lower() for name in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
+def sampled(share: float, *columns: str) -> Column:
+    """Whether a hash of ``columns`` lies within ``share`` of all hashes; always the same rows.
+
+    However small the share is, it is never rounded to nothing.
+    """
+    return F.pmod(F.xxhash64(*columns), F.lit(1 << 52)) < F.lit(max(1, int(min(share, 1.0) * (1 << 52))))
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """Pieces of at most ``rows`` rows and about ``SLICE_BYTES`` bytes (one row at least)."""
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+        todo = [batch.slice(start, rows) for start in range(0, batch.num_rows, rows)][::-1]
+        while todo:
+            part = todo.pop()
+            if part.num_rows > 1 and part.get_total_buffer_size() > SLICE_BYTES and part.nbytes > SLICE_BYTES:
+                middle = part.num_rows // 2
+                todo += [part.slice(middle), part.slice(0, middle)]
+            else:
+                yield part
 
 
 def map_rows(

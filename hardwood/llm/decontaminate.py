@@ -10,9 +10,9 @@ with a probability of at least the threshold: K draws all miss with ``(1 - t) **
 below ``MISS``. A partition whose items need more shingles than a document has is not probed.
 Candidates are then verified by exact containment of the full sets.
 
-The benchmark is taken in blocks of at most ``BLOCK_ITEMS`` items and ``BLOCK_SHINGLES`` shingles,
-the only thing that is broadcast, one pass over the documents per block; the benchmark's total
-size is checked, not assumed.
+The benchmark is taken in blocks of at most ``BLOCK_ITEMS`` items and ``BLOCK_SHINGLES`` shingles.
+One block at a time is broadcast, for one pass over the documents whose finds are written; the
+benchmark's total size is checked, not assumed.
 
 Defined results: an item with fewer words than ``size`` is one shingle, its whole sequence, and is
 looked for among the runs of as many words; items without words (or NULL text or id) are contained
@@ -23,18 +23,29 @@ an id, are each reported; repeated documents each on their own.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hardwood.llm.common import WordHashes, map_rows, shingle_hashes, shingle_set
+from hardwood.llm.common import (
+    WordHashes,
+    free_name,
+    id_filter,
+    map_rows,
+    row_count,
+    shingle_hashes,
+    shingle_set,
+)
 from hardwood.sinks.scratch import keep
 
 MISS = 1e-6
 BLOCK_ITEMS = 20_000
 BLOCK_SHINGLES = 4_000_000
 _TABLE_BITS = 22
+_FOUND = "array<struct<item_id:long,n_shingles:long,n_shared:long>>"
 
 _SPLIT = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256)
@@ -108,15 +119,18 @@ class ItemIndex:
         return out
 
 
-def _item_blocks(items: DataFrame, block_items: int, block_shingles: int):
-    """Lists of (id, text), a bounded number of rows and characters each."""
+def _item_blocks(items: DataFrame, block_items: int, block_shingles: int) -> tuple[Iterator[list], int]:
+    """Lists of (id, text), a bounded number of rows and characters each, and how many there are."""
     rows = keep(items, "benchmark")
     sized = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars")).first()
     # A shingle takes two characters of text at least.
-    blocks = max(1, -(-sized.n // block_items), -(-(sized.chars or 0) // (2 * block_shingles)))
-    for block in range(blocks if sized.n else 0):
+    blocks = max(1, -(-sized.n // block_items), -(-(sized.chars or 0) // (2 * block_shingles))) if sized.n else 0
+
+    def read(block: int) -> list[tuple[int, str]]:
         own = rows if blocks == 1 else rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
-        yield [(r.item, r.text) for r in own.collect()]
+        return [(r.item, r.text) for r in own.collect()]
+
+    return map(read, range(blocks)), blocks
 
 
 def contained_items(
@@ -125,32 +139,61 @@ def contained_items(
     block_shingles: int = BLOCK_SHINGLES, name: str = "items",
 ) -> DataFrame:
     """``docs`` with the column ``name``: an array of the contained items (item_id, n_shingles, n_shared)."""
-    column = "array<struct<item_id:long,n_shingles:long,n_shared:long>>"
     items = benchmark.select(F.col(item_id).cast("long").alias("item"), F.col(item_text).alias("text"))
     items = items.filter("item IS NOT NULL AND text IS NOT NULL")
-    context, at = docs.sparkSession.sparkContext, docs.columns.index(text)
-    out, parts = docs, []
-    for block, rows in enumerate(_item_blocks(items, block_items, block_shingles)):
-        shared = context.broadcast(ItemIndex(rows, size, percent))
-
-        def make(shared=shared):
-            hasher, index = WordHashes(), shared.value
-
-            def compute(part):
-                return [[
-                    [{"item_id": i, "n_shingles": n, "n_shared": s} for i, n, s in index.found_in(hasher.of(words_of(t)))]
-                    for t in part.column(at).to_pylist()
-                ]]
-
-            return compute
-
-        parts.append(f"_items_{block}")
-        out = map_rows(out, make, f"`_items_{block}` {column}")
-    found = F.concat(*parts) if parts else F.array().cast(column)
-    return out.withColumn(name, F.array_sort(found)).drop(*parts)
+    blocks, n_blocks = _item_blocks(items, block_items, block_shingles)
+    if not n_blocks:
+        return docs.withColumn(name, F.array().cast(_FOUND))
+    if n_blocks == 1:
+        shared = docs.sparkSession.sparkContext.broadcast(ItemIndex(next(blocks), size, percent))
+        return map_rows(docs, _finder(shared, docs.columns.index(text)), f"`{name}` {_FOUND}")
+
+    # One pass for each block, whose finds are written before the next block is broadcast, so tasks
+    # hold one block at a time. Rows are told apart by a number, as ids may repeat.
+    row, hits = free_name(docs, "row"), []
+    numbered = keep(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    for items_of_block in blocks:
+        shared = docs.sparkSession.sparkContext.broadcast(ItemIndex(items_of_block, size, percent))
+        texts = numbered.select(F.col(row).alias("row"), F.col(text).alias("text"))
+        found = map_rows(texts, _finder(shared, 1), f"items {_FOUND}", keep=["row"])
+        hits.append(keep(found.filter(F.size("items") > 0), "contained"))
+        shared.unpersist()
+    own = free_name(numbered, "found_row")
+    found = reduce(DataFrame.unionByName, hits).groupBy(F.col("row").alias(own)).agg(
+        F.array_sort(F.flatten(F.collect_list("items"))).alias(name)
+    )
+    found = keep(found, "contained")
+    # Most rows contain nothing and need not meet the finds.
+    touched = id_filter(found.select(own), row_count(found))(row)
+    kept = [c for c in docs.columns if c.lower() != name.lower()]
+    met = numbered.filter(touched).select(row, *kept).join(found, F.col(row) == F.col(own), "left")
+    nothing = F.array().cast(_FOUND)
+    out = met.select(*kept, F.coalesce(name, nothing).alias(name))
+    return out.unionByName(numbered.filter(~touched).select(*kept, nothing.alias(name)))
+
+
+def _finder(shared, at: int):
+    """Makes the function that finds the items of a broadcast index in the texts of column ``at``."""
+
+    def make():
+        hasher, index = WordHashes(), shared.value
+
+        def compute(part):
+            return [[
+                sorted(
+                    [{"item_id": i, "n_shingles": n, "n_shared": s} for i, n, s in index.found_in(hasher.of(words_of(t)))],
+                    key=lambda item: tuple(item.values()),
+                )
+                for t in part.column(at).to_pylist()
+            ]]
+
+        return compute
+
+    return make
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that contain no benchmark item."""
-    found = contained_items(docs, benchmark, name="_contained", **options)
-    return found.filter(F.size("_contained") == 0).select(*docs.columns)
+    name = free_name(docs, "contained")
+    found = contained_items(docs, benchmark, name=name, **options)
+    return found.filter(F.size(name) == 0).select(*docs.columns)

@@ -20,11 +20,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hardwood.llm.common import CACHE_WORDS, fold_rows, folds, map_rows, row_count
+from hardwood.llm.common import CACHE_WORDS, fold_rows, folds, map_rows, sampled
 from hardwood.sinks.scratch import keep
 
 # The model is fitted on at most about this many rows, chosen by a hash of id and text, which
-# bounds what is counted and broadcast. Predictions read all rows and whole texts.
+# bounds what is counted and broadcast. Languages share them evenly, and what small ones leave goes
+# to the large ones, so a rare language is learned from all its rows however large the table is.
+# Predictions read all rows and whole texts.
 MAX_TEACHERS = 12_000
 LONGEST = 5
 # Words and n-grams seen less often are left to backoff.
@@ -34,7 +36,13 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    """Runs of letters, lower-cased. Number signs such as ½ or Ⅳ part them, as digits do."""
+    if not text:
+        return []
+    words = _WORD.findall(text.lower())
+    if text.isascii() or not words or "".join(words).isalpha():
+        return words
+    return [own for word in words for own in "".join(c if c.isalpha() else " " for c in word).split()]
 
 
 def grams_of(word: str, n: int) -> list[str]:
@@ -123,6 +131,14 @@ def _log_frequencies(rows, languages: list[str]) -> tuple[dict[str, int], np.nda
     return items, np.log((counts + 0.5) / (counts.sum(axis=0) + 0.5 * max(1, len(items))))
 
 
+def _even_share(counts: list[int], total: int) -> float:
+    """The most that each may have for all to have ``total`` together; one at least."""
+    left = sorted(counts)
+    while left and left[0] * len(left) <= total:
+        total -= left.pop(0)
+    return max(1.0, total / len(left)) if left else float("inf")
+
+
 def fit(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
     teaches: Column | None = None, max_teachers: int = MAX_TEACHERS,
@@ -132,9 +148,14 @@ def fit(
     rows = rows.filter("text IS NOT NULL AND lang IS NOT NULL")
     if teaches is not None:
         rows = rows.filter(teaches)
-    share = max_teachers / max(1, row_count(rows.select("lang")))
-    if share < 1:
-        rows = rows.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < int(share * 1_000_000))
+    # A row per language.
+    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if sum(counts.values()) > max_teachers:
+        most = _even_share(list(counts.values()), max_teachers)
+        chosen = F.lit(False)
+        for lang, n in counts.items():
+            chosen = chosen | ((F.col("lang") == lang) & sampled(most / n, "doc_id", "text"))
+        rows = rows.filter(chosen)
     words = fold_rows(rows.select("text", "lang"), _count_words, "lang string, word string, n long")
     words = keep(words.groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     grams = fold_rows(words, _count_grams, "lang string, size int, gram string, n long")

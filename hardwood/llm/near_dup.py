@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hardwood.llm.common import WordHashes, id_filter, map_rows, row_count, shingle_set
+from hardwood.llm.common import WordHashes, free_name, id_filter, map_rows, row_count, shingle_set
 from hardwood.llm.components import join_counted, smallest_reachable
 from hardwood.sinks.scratch import keep
 
@@ -309,14 +309,15 @@ def _tied(edges: DataFrame, real: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each component, one row of each document."""
     found = keep(near_duplicates(docs, doc_id=doc_id, text=text, **options), "near_duplicates")
-    ids = found.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id"))
-    ids = ids.agg(F.max("kept").alias("_kept"), F.count(F.lit(1)).alias("_copies"))
-    judged = keep(ids.filter("NOT _kept OR _copies > 1").select("_id", "_kept"), "judged")
+    own, kept = free_name(docs, "id"), free_name(docs, "kept")
+    ids = found.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(own))
+    ids = ids.agg(F.max("kept").alias(kept), F.count(F.lit(1)).alias("copies"))
+    judged = keep(ids.filter(~F.col(kept) | (F.col("copies") > 1)).select(own, kept), "judged")
     # Only rows whose id may be dropped or repeated have to meet the decisions; the rest pass.
-    touched = id_filter(judged.select("_id"), row_count(judged))(doc_id)
-    met = docs.filter(touched).join(judged, F.col(doc_id).cast("long") == F.col("_id"), "left")
-    out = docs.filter(~touched).unionByName(met.filter(F.col("_id").isNull()).select(*docs.columns))
-    if judged.filter("_kept").isEmpty():
+    touched = id_filter(judged.select(own), row_count(judged))(doc_id)
+    met = docs.filter(touched).join(judged, F.col(doc_id).cast("long") == F.col(own), "left")
+    out = docs.filter(~touched).unionByName(met.filter(F.col(own).isNull()).select(*docs.columns))
+    if judged.filter(kept).isEmpty():
         return out
     # Of rows that share an id, one stays.
-    return out.unionByName(met.filter("_kept").select(*docs.columns).dropDuplicates([doc_id]))
+    return out.unionByName(met.filter(kept).select(*docs.columns).dropDuplicates([doc_id]))

@@ -1,11 +1,12 @@
 """Shards of near equal bytes, by sampled splitters over a key range.
 
-The key is a hash of the text, so that equal texts are neighbours, then a hash of the id. A sample
-in which every record's chance is in proportion to its size gives the quantile boundaries of many
-small ranges. Exact bytes per range are then counted: a range that is overfull, because its sample
-erred or one text fills it, is subdivided at quantiles of a sample of its own over the full
-(text, id) key, so one text of any weight spreads over as many ranges as it needs, and a text
-stays in one range otherwise. Consecutive ranges fill the shards in key order, each boundary where
+The key is a hash of the text, so that equal texts are neighbours, then a hash of the id and a row
+number. A record's mass is its size plus the mean size, so that ranges are bounded in bytes and in
+rows. A sample in which every record's chance is in proportion to its mass gives the quantile
+boundaries of many small ranges. Exact bytes and rows per range are then counted: a range that is
+overfull, because its sample erred or one text fills it, is subdivided at quantiles of a sample of
+its own over the full key, so one text of any weight, also full copies of one row, spreads over as
+many ranges as it needs, and a text stays in one range otherwise. Consecutive ranges fill the shards in key order, each boundary where
 the running bytes come nearest to an equal share. Slots are numbered within ranges, after the
 rows of the ranges before.
 
@@ -32,11 +33,11 @@ _ROUNDS = 6
 
 
 def _weighted_sample(rows: DataFrame, expected: int, total: int, salt: int) -> pd.DataFrame:
-    """About ``expected`` rows (h, g, weight), each kept with a chance in proportion to its size."""
-    chance = F.least(F.lit(1.0), F.col("size") * F.lit(expected / max(1, total)))
+    """About ``expected`` rows (h, g, weight), each kept with a chance in proportion to its mass."""
+    chance = F.least(F.lit(1.0), F.col("mass") * F.lit(expected / max(1, total)))
     draw = (F.pmod(F.xxhash64("g", "h", F.lit(salt)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     picked = rows.withColumn("chance", chance).filter(draw < F.col("chance"))
-    return picked.select("h", "g", (F.col("size") / F.col("chance")).alias("weight")).toPandas()
+    return picked.select("h", "g", (F.col("mass") / F.col("chance")).alias("weight")).toPandas()
 
 
 def _quantiles(sample: pd.DataFrame, keys: list[str], parts: int) -> list[tuple[int, int]]:
@@ -75,15 +76,16 @@ def _split_overfull(rows: DataFrame, boundaries: list[tuple[int, int]], full: fl
     """Exact (bytes, rows) per range, the boundaries with overfull ranges subdivided, and if any were."""
     ranged = rows.withColumn("range", _range_of(boundaries))
     counted = ranged.groupBy("range").agg(
-        F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"), F.max("size").alias("largest")
+        F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"),
+        F.sum("mass").alias("mass"), F.max("mass").alias("largest"),
     ).toPandas()
     totals = {int(r.range): (int(r.bytes), int(r.rows)) for r in counted.itertuples()}
-    heavy = counted[(counted.bytes > OVERFULL * full) & (counted.rows > 1) & (counted.bytes > counted.largest)]
+    heavy = counted[(counted.mass > OVERFULL * full) & (counted.rows > 1) & (counted.mass > counted.largest)]
     added: set[tuple[int, int]] = set()
     if len(heavy):
         wanted = ranged.filter(F.col("range").isin([int(r) for r in heavy.range]))
-        weight = int(heavy.bytes.sum())
-        parts = {int(r.range): int(np.ceil(r.bytes / full)) for r in heavy.itertuples()}
+        weight = int(heavy.mass.sum())
+        parts = {int(r.range): int(np.ceil(r.mass / full)) for r in heavy.itertuples()}
         sample = _weighted_sample(wanted, KEYS_PER_RANGE * sum(parts.values()), weight, len(boundaries))
         found = _range_numbers(sample, boundaries)
         for number, own in sample.groupby(found):
@@ -111,12 +113,19 @@ def shard_by_bytes(
         (F.octet_length(content) + 1).cast("long").alias("size"),
         F.crc32(content).alias("text_crc32"),
         F.xxhash64(content).alias("h"),
-    ).withColumn("g", F.xxhash64(F.coalesce("doc_id", F.lit(-1)), "size", F.lit(5)))
+    )
+    # Full copies are told apart by a number, which is the same in all later reads as it is written.
+    number = F.monotonically_increasing_id()
+    rows = rows.withColumn("g", F.xxhash64(F.coalesce("doc_id", F.lit(-1)), "size", F.lit(5), number))
     rows = keep(rows, "shard_keys")
-    total = rows.agg(F.sum("size")).first()[0] or 0
+    n, total = rows.agg(F.count(F.lit(1)), F.sum("size")).first()
+    total = total or 0
+    # Half of a row's mass is its share of the bytes, half its share of the rows.
+    mean = -(-total // max(1, n))
+    rows = rows.withColumn("mass", F.col("size") + F.lit(mean))
     ranges = shards * ranges_per_shard
-    full = max(1.0, total / ranges)
-    boundaries = _quantiles(_weighted_sample(rows, ranges * KEYS_PER_RANGE, total, 0), ["h"], ranges)
+    full = max(1.0, (total + n * mean) / ranges)
+    boundaries = _quantiles(_weighted_sample(rows, ranges * KEYS_PER_RANGE, total + n * mean, 0), ["h"], ranges)
     for _ in range(_ROUNDS):
         totals, wider, again = _split_overfull(rows, boundaries, full)
         if not again:

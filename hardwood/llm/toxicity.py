@@ -25,7 +25,16 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hardwood.llm.common import WordHashes, fold_rows, folds, map_rows, row_count, shingle_set
+from hardwood.llm.common import (
+    WordHashes,
+    fold_rows,
+    folds,
+    free_name,
+    map_rows,
+    row_count,
+    sampled,
+    shingle_set,
+)
 from hardwood.sinks.scratch import keep
 
 # The classifier is fitted on at most about this many labelled documents (chosen by a hash of
@@ -121,7 +130,7 @@ def _labelled_texts(
     rows = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     share = max_labelled / max(1, row_count(rows))
     if share < 1:
-        rows = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+        rows = rows.filter(sampled(share, "doc_id"))
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     known = texts.join(F.broadcast(rows), "doc_id").select("text", (F.col("toxic") > 0).alias("toxic"))
 
@@ -292,7 +301,8 @@ def without_toxic(docs: DataFrame, model: ToxicityModel, text: str = "text") ->
 
         return compute
 
-    return map_rows(docs, make, "_toxic boolean").filter("NOT _toxic").select(*docs.columns)
+    toxic = free_name(docs, "toxic")
+    return map_rows(docs, make, f"`{toxic}` boolean").filter(~F.col(toxic)).drop(toxic)
 
 
 def taught(doc_id: str = "doc_id") -> Column:

@@ -2,11 +2,17 @@
 
 Vectors become integers (each component times a factor, floored). A bounded sample of them gives
 pivots; queries and data both go to the cell of their nearest pivot. Cells are summarised (count,
-radius, largest and smallest norm). From these alone each query cell gets a threshold that its
-queries' k-th scores cannot fall below, and each data vector a bound on its score with any query
-of the cell: it is sent only to cells whose threshold it may reach. Cells of many queries are cut
-into blocks, data of a cell is dealt over salted tasks, and each task multiplies its block
-exactly; the k best per query and task meet in a last bounded grouping.
+radius). From these alone each query cell gets a floor that its queries' k-th scores cannot fall
+below, and each data vector a bound on its score with any query of the cell: it is sent only to
+cells whose floor it may reach.
+
+Data is dealt to parts of bounded size by row, and the parts are joined in rounds that double: the
+first part, the second, the next two, the next four. After each round a query keeps its k best, and
+its k-th score is its new floor: the exact floor among all data so far. Later data is held against
+it twice, when it is sent (against the least floor of a cell) and when it is solved (against each
+query's own), so what a round returns for a query is about its k best of that round's data that
+still count. Results thus grow with the logarithm of the data, not with the number of parts. Cells
+of many queries are cut into blocks, and each task multiplies its block exactly.
 
 Bounds are computed in doubles and widened by a relative margin; they only decide what is sent.
 Scores are exact: where products could pass 2^53, whole numbers of any size are multiplied.
@@ -22,13 +28,15 @@ bits raise an error. An empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from hardwood.llm.common import map_rows, row_count
+from hardwood.llm.common import map_rows, row_count, sampled
 from hardwood.sinks.scratch import keep
 
 MAX_PIVOTS = 64
@@ -96,20 +104,21 @@ def _best(scores: np.ndarray, query_ids, data_ids, k: int):
 def exact_top_k(
     df: DataFrame, is_query: Column, *, k: int = 20, vec_id: str = "vec_id",
     vector: str = "embedding", factor: float = 64.0, max_pivots: int = MAX_PIVOTS,
+    data_per_task: int = DATA_PER_TASK,
 ) -> DataFrame:
     """query_id, rank, vec_id, score of each query's k best. ``is_query`` is on ``vec_id``."""
-    rows = keep(_quantized(df, vec_id, vector, factor), "vectors")
+    # The number of a row tells repeated ones apart; it is written, and so the same in all reads.
+    rows = _quantized(df, vec_id, vector, factor).withColumn("row", F.monotonically_increasing_id())
+    rows = keep(rows, "vectors")
     n_queries, width = row_count(rows.filter(is_query)), rows.agg(F.max(F.length("v"))).first()[0]
     spark = df.sparkSession
-    out = "query_id long, vec_id long, score long, copies long"
     if not n_queries:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     width = (width or 0) // 8
     n_rows = row_count(rows)
     n_pivots = max(1, min(max_pivots, n_queries // QUERIES_PER_CELL + 4))
     # Pivots come from a sample of bounded size; they steer the work, not the result.
-    share = min(1.0, 4096 / n_rows)
-    drawn = rows.filter(F.pmod(F.xxhash64("vec_id", "v"), F.lit(1 << 20)) < max(1, int(share * (1 << 20))))
+    drawn = rows.filter(sampled(4096 / n_rows, "row"))
     sample = _matrix([r.v for r in drawn.select("v").collect()] or [rows.first().v], width)
     pivots = _choose_pivots(sample, n_pivots)
 
@@ -123,7 +132,9 @@ def exact_top_k(
 
     celled = keep(map_rows(rows, assigned, "cell int, far double, norm double", rows=4096), "cells")
     data = {r.cell: r for r in celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far")).collect()}
-    queries = celled.filter(is_query).groupBy("vec_id", "v", "cell", "far").agg(F.count(F.lit(1)).alias("copies"))
+    queries = celled.filter(is_query).groupBy("vec_id", "v", "cell", "far").agg(
+        F.count(F.lit(1)).alias("copies"), F.min("row").alias("query")
+    )
     # So many rows may have a query's own id and be none of its candidates.
     own_rows = queries.groupBy("vec_id").agg(F.sum("copies").alias("n")).agg(F.max("n")).first()[0]
     asked = {r.cell: r for r in queries.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far")).collect()}
@@ -143,35 +154,82 @@ def exact_top_k(
             if seen >= k + own_rows:
                 least[i] = low - _MARGIN * (1 + abs(low))
                 break
-    own = queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), "copies", "cell")
     blocks = {i: -(-asked[i].n // QUERIES_PER_BLOCK) for i in cells}
-    n_salts = max(1, -(-n_rows // DATA_PER_TASK))
+    n_parts = max(1, -(-n_rows // data_per_task))
     centres, radii = pivots[cells], np.array([asked[i].far for i in cells])
-    floors = np.array([least[i] for i in cells])
+    by_cell = lambda values: F.element_at(F.create_map(*[F.lit(x) for i in cells for x in (i, values[i])]), F.col("cell"))
+    own = queries.select(
+        "query", F.col("vec_id").alias("query_id"), F.col("v").alias("q"), "copies", "cell",
+        F.pmod(F.xxhash64("query"), by_cell(blocks)).cast("int").alias("block"),
+        by_cell({i: float(least[i]) for i in cells}).alias("floor"),
+    )
+    own = keep(own, "queries")
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("row", F.lit(13)), F.lit(n_parts)).cast("int"))
+    best = None
+    for low, high in _rounds(n_parts):
+        floors = {r.cell: r.floor for r in own.groupBy("cell").agg(F.min("floor").alias("floor")).collect()}
+        lowest = np.array([floors[i] for i in cells])
+
+        def needed(lowest=lowest):
+            """The query cells that a vector may reach: x.q <= x.p_i + |x| r_i."""
+
+            def compute(part):
+                points = _matrix(part.column(1).to_pylist(), width)
+                most = points @ centres.T + np.linalg.norm(points, axis=1)[:, None] * radii
+                reach = most + _MARGIN * (1 + np.abs(most)) >= lowest
+                return [[[cells[j] for j in np.flatnonzero(row)] for row in reach]]
+
+            return compute
+
+        data_of_round = dealt.filter((F.col("part") >= low) & (F.col("part") < high)).select("vec_id", "v", "part")
+        sent = map_rows(data_of_round, needed, "to array<int>", rows=4096)
+        sent = sent.select("vec_id", "v", "part", F.explode("to").alias("cell"))
+        sent = sent.select("*", F.explode(F.sequence(F.lit(0), by_cell(blocks) - 1)).alias("block"))
+        asking = own.withColumn("part", F.explode(F.sequence(F.lit(low), F.lit(high - 1))))
+        found = asking.groupBy(*_TASK).cogroup(sent.groupBy(*_TASK)).applyInArrow(_solver(k, width), _FOUND)
+        best = keep(_k_best(found if best is None else found.unionByName(best), k), "k_best")
+        if high < n_parts:
+            reached = best.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("k_th"))
+            reached = reached.filter(F.col("n") >= k).select(F.col("query").alias("of"), "k_th")
+            met = own.join(reached, F.col("query") == F.col("of"), "left")
+            floor = F.coalesce(F.greatest("floor", F.col("k_th").cast("double")), F.col("floor"))
+            own = keep(met.withColumn("floor", floor).select(*own.columns), "queries")
+    # Each distinct query row has at most k rows here; one with copies takes a rank for each.
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    last = F.sum("copies").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = best.withColumn("last", last).withColumn("first", F.col("last") - F.col("copies") + 1)
+    ranks = F.explode(F.sequence("first", F.least("last", F.lit(k).cast("long"))))
+    ranked = ranked.filter(F.col("first") <= k).select("query_id", ranks.alias("rank"), "vec_id", "score")
+    return ranked.withColumn("rank", F.col("rank").cast("int"))
 
-    def needed():
-        """The query cells that a vector may reach: x.q <= x.p_i + |x| r_i."""
 
-        def compute(part):
-            points = _matrix(part.column(1).to_pylist(), width)
-            most = points @ centres.T + np.linalg.norm(points, axis=1)[:, None] * radii
-            reach = most + _MARGIN * (1 + np.abs(most)) >= floors
-            return [[[cells[j] for j in np.flatnonzero(row)] for row in reach]]
+_TASK = ("cell", "block", "part")
+_FOUND = "query long, query_id long, vec_id long, score long, copies long"
+
+
+def _rounds(parts: int) -> Iterator[tuple[int, int]]:
+    """Ranges of parts: one, one more, and then as many as there were before."""
+    low, high = 0, 1
+    while low < parts:
+        yield low, min(high, parts)
+        low, high = high, 2 * high
 
-        return compute
 
-    salt = F.pmod(F.xxhash64("vec_id"), F.lit(n_salts)).cast("int")
-    sent = map_rows(rows, needed, "to array<int>", rows=4096).select("vec_id", "v", salt.alias("salt"), F.explode("to").alias("cell"))
-    counts = F.element_at(F.create_map(*[F.lit(x) for i in cells for x in (i, blocks[i])]), F.col("cell"))
-    sent = sent.select("vec_id", "v", "salt", "cell", F.explode(F.sequence(F.lit(0), counts - 1)).alias("block"))
-    block = F.pmod(F.xxhash64("query_id"), counts).cast("int")
-    own = own.select("query_id", "q", "copies", "cell", block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(n_salts - 1))).alias("salt"))
+def _k_best(found: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best of each query row, ties to smaller ids."""
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k).drop("place")
 
+
+def _solver(k: int, width: int):
     def solve(left: pa.Table, right: pa.Table) -> pa.Table:
-        result = ([], [], [], [])
+        result = ([], [], [], [], [])
         if left.num_rows and right.num_rows:
-            query_ids, data_ids = left.column("query_id").to_numpy(), right.column("vec_id").to_numpy()
-            copies = left.column("copies").to_numpy()
+            query, query_ids, data_ids = (
+                table.column(name).to_numpy()
+                for table, name in ((left, "query"), (left, "query_id"), (right, "vec_id"))
+            )
+            copies, floors = left.column("copies").to_numpy(), left.column("floor").to_numpy()
             q = _matrix(left.column("q").to_pylist(), width)
             x = _matrix(right.column("v").to_pylist(), width)
             if np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * max(1, width) >= 2.0**53:
@@ -179,18 +237,14 @@ def exact_top_k(
             for start in range(0, len(query_ids), 256):
                 scores = q[start : start + 256] @ x.T
                 for i, ids, values in _best(scores, query_ids[start : start + 256], data_ids, k):
-                    result[0].extend([query_ids[start + i]] * len(ids))
-                    result[1].extend(ids)
-                    result[2].extend(int(v) for v in values)
-                    result[3].extend([copies[start + i]] * len(ids))
-        return pa.table([pa.array(c, pa.int64()) for c in result], ["query_id", "vec_id", "score", "copies"])
-
-    keys = ("cell", "block", "salt")
-    found = own.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInArrow(solve, out)
-    # Each distinct query row has at most k rows per salt here; one with copies takes a rank for each.
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    last = F.sum("copies").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = found.withColumn("last", last).withColumn("first", F.col("last") - F.col("copies") + 1)
-    ranks = F.explode(F.sequence("first", F.least("last", F.lit(k).cast("long"))))
-    ranked = ranked.filter(F.col("first") <= k).select("query_id", ranks.alias("rank"), "vec_id", "score")
-    return ranked.withColumn("rank", F.col("rank").cast("int"))
+                    # A floor above 2^53 is rounded, so what lies within the margin below it stays.
+                    low = floors[start + i] - _MARGIN * (1 + abs(floors[start + i]))
+                    still = np.flatnonzero(values.astype(float) >= low)
+                    result[0].extend([query[start + i]] * len(still))
+                    result[1].extend([query_ids[start + i]] * len(still))
+                    result[2].extend(ids[still])
+                    result[3].extend(int(v) for v in values[still])
+                    result[4].extend([copies[start + i]] * len(still))
+        return pa.table([pa.array(c, pa.int64()) for c in result], [f.split()[0] for f in _FOUND.split(", ")])
+
+    return solve
