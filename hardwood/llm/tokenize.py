@@ -42,6 +42,8 @@ ESTIMATES = 2
 SMOOTHING = 1.0
 _MARKER = 0xFF  # stands for the white-space marker; no UTF-8 text has this byte
 _CHUNK_BYTES = 1 << 18
+# Words that are segmented together when pieces are counted.
+_WORD_ROWS = 16_384
 
 
 @dataclass
@@ -309,7 +311,7 @@ def _piece_counts(words: DataFrame, tokenizer: Tokenizer) -> dict[int, int]:
         found = np.flatnonzero(total)
         yield found, total[found]
 
-    counted = fold_rows(words, count, "piece int, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+    counted = fold_rows(words, count, "piece int, n long", _WORD_ROWS).groupBy("piece").agg(F.sum("n").alias("n"))
     return {r.piece: r.n for r in counted.collect()}
 
 
