@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from hardwood.llm import decontaminate, near_dup, personal_data, queries, queries_sql
@@ -69,3 +70,15 @@ def test_pipeline_on_odd_rows(spark, sf_dir, tmp_path):
             out = stage(spark, out, sf_dir)
             assert out.columns == frame.columns or name == "sentencepiece"
         assert out.count() == rows
+
+
+def test_pipeline_carries_columns_of_any_name(spark, sf_dir):
+    """Names that the stages use, or used, for columns of their own."""
+    names = ["_id", "_kept", "_toxic", "_contained", "_items_0", "id", "kept", "toxic", "contained", "row", "copies", "Label", "score"]
+    few = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("doc_id < 120")
+    docs = few.withColumns({name: F.concat(F.lit(f"{name} "), F.col("doc_id")) for name in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf_dir)
+        assert docs.columns == few.columns + names
+    rows = docs.collect()
+    assert len(rows) > 60 and all(r[name] == f"{name} {r.doc_id}" for r in rows for name in names)
