@@ -11,8 +11,9 @@ markers to spaces and drops the first; it restores every text exactly, also one
 marker character itself, which is always encoded as bytes.
 
 No piece holds a marker after another character, nor a line end (checked when the trie is built),
-so the best path of a text is the best paths of its words, and each distinct word is solved once
-per task, many words together in numpy. Ties go to the longer last piece.
+so the best path of a text is the best paths of its words, which are solved many together in numpy.
+The ``KNOWN_WORDS`` most frequent words are solved once and broadcast with the model; a task solves
+the others as they come and remembers some. Ties go to the longer last piece.
 
 Defined results: NULL and empty texts have no tokens and decode to an empty text. Without any text
 all pieces score alike. Log probabilities are rounded to 2^-20, so that sums of them are exact.
@@ -42,6 +43,9 @@ ESTIMATES = 2
 SMOOTHING = 1.0
 _MARKER = 0xFF  # stands for the white-space marker; no UTF-8 text has this byte
 _CHUNK_BYTES = 1 << 18
+#: Frequent words whose pieces are broadcast, and others that a task remembers before it forgets them.
+KNOWN_WORDS = 100_000
+ROOM = 50_000
 # Words that are segmented together when pieces are counted.
 _WORD_ROWS = 16_384
 
@@ -155,17 +159,18 @@ class Tokenizer:
         crossing = any(b"\n" in w or marker in w.lstrip(marker) for w in words)
         self.splitter = re.compile(rb"(?s).+" if crossing else rb"\xff*[^\xff\n]+|\n|\xff+")
         self.decoded = [t.replace(marker, b" ") for t in pieces.texts]
+        self.known: dict[bytes, bytes] = {}
         self.cache: dict[bytes, bytes] = {}
 
     def _unknown(self) -> float:
         return float(self.pieces.scores[self.usable].min() if self.usable else 0) - UNKNOWN_PENALTY
 
     def __getstate__(self):
-        return self.pieces, self.trie, self.usable, self.unknown, self.splitter.pattern, self.decoded
+        return self.pieces, self.trie, self.usable, self.unknown, self.splitter.pattern, self.decoded, self.known
 
     def __setstate__(self, state):
-        self.pieces, self.trie, self.usable, self.unknown, pattern, self.decoded = state
-        self.splitter, self.cache = re.compile(pattern), {}
+        self.pieces, self.trie, self.usable, self.unknown, pattern, self.decoded, self.known = state
+        self.splitter, self.cache = re.compile(pattern), dict(self.known)
 
     def estimated(self, counts: dict[int, int]) -> Tokenizer:
         """The same pieces, scored by the logarithms of their smoothed shares in ``counts``."""
@@ -175,6 +180,15 @@ class Tokenizer:
         other = copy.copy(self)
         other.pieces = replace(self.pieces, scores=scores)
         other.unknown = other._unknown()
+        other.known, other.cache = {}, {}
+        return other
+
+    def knowing(self, words: list[bytes]) -> Tokenizer:
+        """The same, with the pieces of ``words`` at hand."""
+        self._remember([words])
+        other = copy.copy(self)
+        other.known = {w: self.cache[w] for w in words}
+        other.cache = dict(other.known)
         return other
 
     def words(self, text: str | None) -> list[bytes]:
@@ -195,8 +209,8 @@ class Tokenizer:
         return np.frombuffer(b"".join(solved), np.int32), [len(e) // 4 for e in solved]
 
     def _remember(self, words: list[list[bytes]]) -> None:
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
+        if len(self.cache) > len(self.known) + ROOM:
+            self.cache = dict(self.known)
         fresh = list({w for own in words for w in own}.difference(self.cache))
         fresh.sort(key=len)
         start = 0
@@ -242,18 +256,37 @@ class Tokenizer:
                 rows, state, score = rows[inside], state[inside], score[inside]
                 if not len(rows):
                     break
-        byte_ids = self.pieces.byte_ids
-        came_from, pieces = came.tolist(), piece.tolist()
-        for i, word in enumerate(words):
-            ids, at = [], len(word)
-            while at > 0:
-                back, found = came_from[i][at], pieces[i][at]
-                if found >= 0:
-                    ids.append(found)
-                else:
-                    ids.extend(byte_ids[b] for b in reversed(word[back:at]))
-                at = back
-            self.cache[word] = np.array(ids[::-1], np.int32).tobytes()
+        # All paths are followed back together, one piece a step.
+        rows, at, steps = np.arange(n), lengths, []
+        whole, count = np.ones(n, bool), np.zeros(n, np.int64)
+        while len(rows):
+            ids, back = piece[rows, at], came[rows, at]
+            steps.append((rows, ids))
+            whole[rows[ids < 0]] = False
+            count[rows] += 1
+            rows, at = rows[back > 0], back[back > 0]
+        ends = np.cumsum(count)
+        flat = np.empty(ends[-1], np.int32)
+        for step, (rows, ids) in enumerate(steps, 1):
+            flat[ends[rows] - step] = ids
+        joined, ends = flat.tobytes(), (4 * ends).tolist()
+        cache, start = self.cache, 0
+        for word, end in zip(words, ends, strict=True):
+            cache[word] = joined[start:end]
+            start = end
+        for i in np.flatnonzero(~whole).tolist():
+            cache[words[i]] = self._with_bytes(words[i], came[i].tolist(), piece[i].tolist())
+
+    def _with_bytes(self, word: bytes, came: list[int], piece: list[int]) -> bytes:
+        """The path of a word with characters that no piece covers."""
+        ids, at = [], len(word)
+        while at > 0:
+            if piece[at] >= 0:
+                ids.append(piece[at])
+            else:
+                ids.extend(self.pieces.byte_ids[b] for b in reversed(word[came[at] : at]))
+            at = came[at]
+        return np.array(ids[::-1], np.int32).tobytes()
 
     @staticmethod
     def _offer(best, came, piece, rows, at, score, start, ids) -> None:
@@ -295,7 +328,9 @@ def fit(docs: DataFrame, model_path: str | None = None, text: str = "text") -> T
     tokenizer = tokenizer.estimated({})
     for _ in range(ESTIMATES):
         tokenizer = tokenizer.estimated(_piece_counts(words, tokenizer))
-    return tokenizer
+    # A bounded number of short rows; which words they are changes no result.
+    often = words.filter(F.length("word") <= 64).orderBy(F.desc("n"), "word").limit(KNOWN_WORDS)
+    return tokenizer.knowing([bytes(r.word) for r in often.select("word").collect()])
 
 
 def _piece_counts(words: DataFrame, tokenizer: Tokenizer) -> dict[int, int]:
