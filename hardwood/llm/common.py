@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -67,6 +68,14 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
                 yield part
 
 
+def _give_back() -> None:
+    """Return freed memory to the system: workers are reused, and else keep the most they ever held."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_rows(
     df: DataFrame,
     make: Callable[[], Callable[[pa.RecordBatch], Sequence]],
@@ -99,6 +108,7 @@ def map_rows(
                 for column, kind in zip(compute(part), added_types, strict=True)
             ]
             yield pa.RecordBatch.from_arrays([part.column(i) for i, _ in kept] + new, out_names)
+        _give_back()
 
     return df.mapInArrow(run, schema)
 
@@ -122,6 +132,7 @@ def fold_rows(
                 for c, t in zip(columns, types.types, strict=True)
             ]
             yield pa.RecordBatch.from_arrays(arrays, types.names)
+        _give_back()
 
     return df.mapInArrow(run, schema)
 
