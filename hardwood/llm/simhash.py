@@ -94,12 +94,15 @@ def _grouped(rows: DataFrame, parts: list[Column], width: int, used: int) -> Dat
     counted = keep(halves.groupBy("part").agg(F.count(F.lit(1)).alias("own")), "parts")
     places = F.explode(F.expr(f"sequence(0, {width - 1})"))
     cleared = F.expr("part & ~shiftleft(1L, place)")
-    variants = counted.select("part", "own", places.alias("place")).select(
+    # The parts are few bytes, and many rows of variants: they are spread before they become those.
+    spread = counted.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "part")
+    variants = spread.select("part", "own", places.alias("place")).select(
         (cleared + F.expr(f"shiftleft(place + 1L, {used})")).alias("entry"), "own", "place"
     )
     # Both values of the deleted bit occur when two distinct parts have the entry.
     both = variants.groupBy("entry", "place").agg(F.count(F.lit(1)).alias("sides"), F.sum("own").alias("members"))
     both = both.filter("sides = 2").withColumn("zero", F.col("entry").bitwiseAND(F.lit((1 << used) - 1)))
+    both = keep(both, "variants")
     one = F.expr("zero | shiftleft(1L, place)")
     wild = both.select("entry", "members", F.explode(F.array("zero", one)).alias("part"))
     same = counted.filter("own > 1").select(F.col("part").alias("entry"), F.col("own").alias("members"), "part")
