@@ -328,9 +328,24 @@ def fit(docs: DataFrame, model_path: str | None = None, text: str = "text") -> T
     tokenizer = tokenizer.estimated({})
     for _ in range(ESTIMATES):
         tokenizer = tokenizer.estimated(_piece_counts(words, tokenizer))
-    # A bounded number of short rows; which words they are changes no result.
-    often = words.filter(F.length("word") <= 64).orderBy(F.desc("n"), "word").limit(KNOWN_WORDS)
-    return tokenizer.knowing([bytes(r.word) for r in often.select("word").collect()])
+    return tokenizer.knowing(_frequent(words))
+
+
+def _frequent(words: DataFrame) -> list[bytes]:
+    """Short words of the highest counts, ``KNOWN_WORDS`` at most; which they are changes no result.
+
+    Words per level of counts are collected first, so that no task sends words beyond the bound.
+    """
+    levels = words.filter(F.length("word") <= 64).withColumn("level", F.floor(F.log2("n") * 8).cast("int"))
+    room, least = KNOWN_WORDS, None
+    for row in sorted(levels.groupBy("level").count().collect(), reverse=True):
+        room -= row["count"]
+        if room < 0:
+            break
+        least = row.level
+    if least is None:
+        return []
+    return [bytes(r.word) for r in levels.filter(F.col("level") >= least).select("word").collect()]
 
 
 def _piece_counts(words: DataFrame, tokenizer: Tokenizer) -> dict[int, int]:

@@ -295,6 +295,19 @@ def test_estimated_scores_equal_a_plain_two_round_estimate(spark):
     assert all(found[i] == s for i, s in scores.items())
 
 
+def test_frequent_words_are_bounded_and_change_no_result(spark, monkeypatch):
+    words = spark.createDataFrame(
+        [(bytearray(w.encode()), n) for w, n in (("a", 900), ("b", 850), ("c", 40), ("d", 40), ("e", 1), ("f" * 90, 999))],
+        "word binary, n long",
+    )
+    for room, wanted in ((0, []), (1, [b"a"]), (2, [b"a", b"b"]), (3, [b"a", b"b"]), (4, [b"a", b"b", b"c", b"d"]), (9, [b"a", b"b", b"c", b"d", b"e"])):
+        monkeypatch.setattr(tokenize, "KNOWN_WORDS", room)
+        assert sorted(tokenize._frequent(words)) == wanted
+    plain = tokenize.Tokenizer(tokenize.Pieces.read(tokenize.default_model_path())).estimated({})
+    texts = ["the quick brown fox", "日本 the 🙂", None, "quick"]
+    assert plain.knowing(plain.words("the quick")).encode(texts) == plain.encode(texts)
+
+
 # ---- nearest neighbours
 
 def test_rounds_double_and_cover_all_parts():
