@@ -22,8 +22,11 @@ def with_opponent(
     Rows whose event has no second side get NULLs, as in a left outer self join on equal events
     and unequal sides. An event has at most two rows: reading the opponent of one with more raises
     (:func:`crowded_events` lists them), so no result is silently incomplete. So one aggregated row per event replaces the self join: no
-    pairs are formed, copies of an event collapse before the shuffle, and the join back has one
-    row per key on its right side, which adaptive execution can split when a key is hot.
+    pairs are formed, and the join back has one row per key on its right side.
+
+    Two rows an event leave nothing to combine before the shuffle: it takes the narrow rows of
+    ``sides``, without those of no event, which meet nothing. Events are as many as half the rows,
+    and their size is guessed from compressed files, so they are never broadcast.
 
     ``sides`` may be a narrow frame with the same rows as ``df`` (by event and side) that also
     holds the columns ``own``. Each row gets those of its own side, so that columns computed on
@@ -31,14 +34,15 @@ def with_opponent(
     """
     sides = df if sides is None else sides
     spread = [*carry, *own]
-    per_event = sides.groupBy(event).agg(
+    narrow = sides.select(*dict.fromkeys([event, side, *spread])).filter(F.col(event).isNotNull())
+    per_event = narrow.repartition(event).groupBy(event).agg(
         F.min(side).alias("_low"),
         F.max(side).alias("_high"),
         F.count(F.lit(1)).alias("_rows"),
         *[F.min_by(column, side).alias(f"_low_{column}") for column in spread],
         *[F.max_by(column, side).alias(f"_high_{column}") for column in spread],
     )
-    joined = df.join(per_event, event, "left")
+    joined = df.join(per_event.hint("merge"), event, "left")
     is_low = F.col(side) == F.col("_low")
     is_high = F.col(side) == F.col("_high")
     two_sided = F.col("_low") != F.col("_high")

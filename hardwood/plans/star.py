@@ -8,10 +8,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 from hardwood.functions import season
 from hardwood.functions.compat import weekday_name
 from hardwood.operators.opponents import with_opponent
+from hardwood.operators.packing import pack, unpacked
 from hardwood.operators.windows import days_since_previous
 from hardwood.sources import schemas
 from hardwood.sources.schemas import conform
@@ -90,12 +92,21 @@ def dim_game(game_log: DataFrame) -> DataFrame:
     )
 
 
+# What a fact has from its own row of the log, and the counts among it.
+_ADDED = ("opponent_team_id", "opp_pts", "rest_days", "is_back_to_back")
+_OF_LOG = StructType([field for field in schemas.FACT_TEAM_GAME if field.name not in _ADDED])
+_COUNTS = [
+    field.name for field in _OF_LOG if field.dataType == IntegerType() and field.name != "team_id"
+]
+
+
 def fact_team_game(game_log: DataFrame, **sizing) -> DataFrame:
     """One row per team and game with the opponent and the rest before the game.
 
     Rest days need a window over teams and seasons, opponents a join over games. The window
     runs on five columns, and its result travels with the opponents, so the wide rows of the
-    log are shuffled once: over game ids, which are evenly spread.
+    log are shuffled once: over game ids, which are evenly spread. They have the types of the
+    facts by then, and their counts are packed.
     """
     rested = days_since_previous(
         game_log.select(
@@ -108,8 +119,14 @@ def fact_team_game(game_log: DataFrame, **sizing) -> DataFrame:
         sized_by=game_log,
         **sizing,
     )
+    labelled = game_log.withColumns(
+        {
+            "season_id": season.season_label(F.col("season_id")),
+            "is_home": F.coalesce(F.col("matchup").contains("vs."), F.lit(False)),
+        }
+    )
     paired = with_opponent(
-        game_log,
+        pack(conform(labelled, _OF_LOG), _COUNTS),
         event="game_id",
         side="team_id",
         opponent="opponent_team_id",
@@ -119,11 +136,7 @@ def fact_team_game(game_log: DataFrame, **sizing) -> DataFrame:
     )
     return conform(
         paired.withColumns(
-            {
-                "season_id": season.season_label(F.col("season_id")),
-                "is_home": F.coalesce(F.col("matchup").contains("vs."), F.lit(False)),
-                "is_back_to_back": F.coalesce(F.col("rest_days") == 1, F.lit(False)),
-            }
+            {**unpacked(_COUNTS), "is_back_to_back": F.coalesce(F.col("rest_days") == 1, F.lit(False))}
         ),
         schemas.FACT_TEAM_GAME,
     )
